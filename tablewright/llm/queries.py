@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import quality
+from . import bpe, langid, packing, quality
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
+    "op5_packing": packing.op5_packing,
+    "op6_langid": langid.op6_langid,
     "op8_quality": quality.op8_quality,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLE: dict[str, str] = {}
