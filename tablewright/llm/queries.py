@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, langid, packing, quality
+from . import bpe, langid, near_dedup, packing, quality
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
     "op5_packing": packing.op5_packing,
     "op6_langid": langid.op6_langid,
     "op8_quality": quality.op8_quality,
