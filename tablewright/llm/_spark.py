@@ -67,3 +67,13 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
         yield batch.slice(first, last - first)
         first = last
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it again: narrower than ``cut`` for rows of many bytes."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, langid, near_dedup, packing, quality
+from . import bpe, hpylm, langid, near_dedup, packing, quality
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op6_langid": langid.op6_langid,
     "op8_quality": quality.op8_quality,
     "op9_bpe": bpe.op9_bpe,
+    "op10_lm_score": hpylm.op10_lm_score,
 }
 
 ORACLE: dict[str, str] = {}
