@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, hpylm, langid, near_dedup, packing, quality
+from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op4_html_text": html_extract.op4_html_text,
     "op5_packing": packing.op5_packing,
     "op6_langid": langid.op6_langid,
     "op8_quality": quality.op8_quality,
