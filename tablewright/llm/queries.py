@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality
+from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality, topk
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op3_topk": topk.op3_topk,
     "op4_html_text": html_extract.op4_html_text,
     "op5_packing": packing.op5_packing,
     "op6_langid": langid.op6_langid,
@@ -18,4 +19,6 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op10_lm_score": hpylm.op10_lm_score,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_topk": topk.OP3_SQL,
+}
