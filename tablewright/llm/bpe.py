@@ -49,6 +49,8 @@ def _printable() -> list[str]:
 
 #: Stands for the end-of-word mark in a label; no printable character of a byte is this one.
 MARK = "\0"
+#: Longer words don't go through the table of tails.
+LONG = 100
 
 
 class Automaton:
@@ -104,13 +106,21 @@ class Automaton:
                 for c in self._marked(name):
                     node = node.setdefault(c, {})
                 node[""] = t
+        self._spread(self.tree, -1)
         for name, t in self.vocab.items():
             node = self.tree
             for c in self._marked(name)[:-1]:
                 node = node.get(c)
                 if node is None:
                     break
-                self.shorter[t] = node.get("", self.shorter[t])
+                self.shorter[t] = node[""]
+
+    def _spread(self, node: dict, t: int) -> None:
+        """Each node gets the longest token on the way to it."""
+        t = node.setdefault("", t)
+        for c, below in node.items():
+            if c:
+                self._spread(below, t)
 
     def _marked(self, name: str) -> str:
         return name.removesuffix(self.end) + MARK if self.end and name.endswith(self.end) else name
@@ -125,12 +135,13 @@ class Automaton:
         n, at, out, dead = len(text), 0, [], set()
         arcs, shorter, width, late, tree = self.arcs, self.shorter, self.width, len(self.time), self.tree
         while at < n:
-            node, t = tree, -1
-            for k in range(at, n):
-                node = node.get(text[k])
-                if node is None:
+            node = tree
+            for c in text[at:] if at else text:
+                below = node.get(c)
+                if below is None:
                     break
-                t = node.get("", t)
+                node = below
+            t = node[""]
             while True:
                 if t >= 0 and at + width[t] not in dead:
                     if not out:
@@ -153,6 +164,46 @@ class Automaton:
         return out
 
 
+class Tails:
+    """The automaton's transitions, by the token before and the rest of the word: raw ids, or nothing if no arc leads on.
+
+    Words share their ends, so after a word's first token the rest is mostly in the table.
+    """
+
+    def __init__(self, automaton: Automaton, raw: list[bytes], keep: int) -> None:
+        self.automaton, self.raw = automaton, raw
+        self.known = Recent(self._rest, keep)
+
+    def _rest(self, key: tuple[int, str]) -> bytes:
+        s, text = key
+        a = self.automaton
+        node = a.tree
+        for c in text:
+            below = node.get(c)
+            if below is None:
+                break
+            node = below
+        t = node[""]
+        while t >= 0:
+            ok = a.arcs.get((s, t)) if s >= 0 else True
+            if ok is None:
+                ok = a.arcs[s, t] = a._arc(s, t, len(a.time))
+            if ok:
+                n = a.width[t]
+                if n == len(text):
+                    return self.raw[t]
+                more = self.known[t, text[n:]]
+                if more:
+                    return self.raw[t] + more
+            t = a.shorter[t]
+        return b""
+
+    def word(self, symbols: str) -> bytes:
+        if len(symbols) > LONG:
+            return b"".join([self.raw[t] for t in self.automaton.word(symbols)])
+        return self._rest((-1, symbols + MARK if self.automaton.end else symbols))
+
+
 class Recent(dict):
     """What was made for recent keys, in two generations of at most ``keep`` entries each."""
 
@@ -173,7 +224,7 @@ class Recent(dict):
 class Coder:
     """Encodes and decodes whole texts; arcs and recent words are kept in tables of bounded size."""
 
-    def __init__(self, source: bytes, keep: int = 200_000) -> None:
+    def __init__(self, source: bytes, keep: int = 300_000) -> None:
         spec = json.loads(source)
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or spec["model"]["type"] != "BPE":
@@ -187,15 +238,18 @@ class Coder:
         self.labels = [""] * (max([*self.automaton.vocab.values(), *self.special.values()]) + 1)
         for name, t in [*self.automaton.vocab.items(), *self.special.items()]:
             self.labels[t] = name
+        self.raw = [np.array([t], "<u4").tobytes() for t in range(len(self.labels))]
+        self.tails = Tails(self.automaton, self.raw, keep)
         self.by_word = Recent(self._word, keep)
         self.by_chunk = Recent(self._chunk, keep)
 
     def _word(self, piece: str) -> bytes:
         byte = self.byte
-        tokens = self.automaton.word("".join([byte[b] for b in piece.encode()]))
-        if len(self.automaton.arcs) > 2_000_000:
+        plain = piece.isascii() and piece.isprintable()  # no space is in a piece
+        symbols = piece if plain else "".join([byte[b] for b in piece.encode()])
+        if len(self.automaton.arcs) > 1_000_000:
             self.automaton.arcs.clear()
-        return np.array(tokens, "<u4").tobytes()
+        return self.tails.word(symbols)
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
@@ -215,6 +269,8 @@ class Coder:
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
+        if b"<|" not in text:  # else a special token could come of it
+            text = text.lower()
         return b"".join(map(self.by_chunk.__getitem__, text.split()))
 
     def decode(self, ids: bytes) -> str:

@@ -10,9 +10,11 @@ A document is the set of its distinct ``n``-word shingles (64-bit hashes of the
   bands of 4 coordinates with chance (1 - 0.75**4)**32 = 5e-6, a pair at 0.8 with chance 5e-8.
 * Verification.  Documents with equal sets are one class from the start and go on as one representative.  In each
   bucket every member is compared with the bucket's first member on full sets; components are taken; in the
-  buckets that still hold two components every member outside the first member's component is compared with all
-  members of other components.  No pair of a bucket stays untested unless its ends are connected already, and
-  a bucket of near copies costs as many comparisons as it has members, not their square.
+  buckets that still hold two components every member outside the first member's component meets all members of
+  other components: 2,048 parity bits of each set bound the size of the symmetric difference from below, and
+  the pairs that this exact bound leaves are compared on full sets.  No pair of a bucket stays undecided unless
+  its ends are connected already, and a bucket of near copies costs as many full comparisons as it has
+  members, not their square.
 * Components by alternating large-star and small-star steps, each an aggregate and a join, cut by a checkpoint.
 
 Everything that is shuffled is a key, an id, or the set of a document that shares a bucket with another.
@@ -37,6 +39,7 @@ from ._spark import bytes_of, cut, slices, two_columns
 
 WORDS = 5
 ROWS, BANDS = 4, 32
+PARITIES = 2048
 _SEEDS = np.random.default_rng(19).integers(0, 2**64, 2 * ROWS * BANDS, dtype=np.uint64)
 
 
@@ -79,6 +82,15 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
     return key
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITIES`` hash values: is the number of shingles with it odd?  As 64-bit words.
+
+    Where two documents' bits differ, some shingle is in one of them only, so the number of differing bits
+    never exceeds the size of the symmetric difference: an exact bound without the sets.
+    """
+    return np.packbits((np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
     """id, set size, a 128-bit fingerprint of the set, band keys."""
 
@@ -101,9 +113,11 @@ def _sets(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 sets = shingle_sets(*bytes_of(part.column("text")))
                 at = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "shingles"])
+                bits = np.concatenate([parities(s) for s in sets])
+                lists = [pa.ListArray.from_arrays(pa.array(x), pa.array(v)) for x, v in ((at, np.concatenate(sets).view(np.int64)), (np.arange(0, len(bits) + 1, PARITIES // 64, dtype=np.int32), bits))]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *lists], ["id", "shingles", "bits"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, shingles array<long>, bits array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -163,9 +177,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
     held = shared.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component"))
     open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "rep").alias("main")).where("low <> high").select("key", "main")
-    unsettled = cut(held.join(open_keys, "key"))
-    other = unsettled.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
+    unsettled = cut(held.join(open_keys, "key").join(sets.select(F.col("id").alias("rep"), "bits"), "rep"))
+    other = unsettled.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("bits").alias("bits2"))
+    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits2")[k])) for k in range(PARITIES // 64)), F.lit(0))
     rest = unsettled.where("component <> main").join(other, "key").where("component <> component2 and rep2 <> leader").where(near.format("n", "n2"))
+    rest = rest.where(differ * (100 + least) <= (F.col("n") + F.col("n2")) * (100 - least))
     rest = rest.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = cut(_verified(rest, sets, least))
     labels = components(linked.union(more)) if not more.isEmpty() else labels
