@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import _words
 from ._spark import cut, slices
+from .url_filter import address
 
 SUPPORT, SIZE = 3, 3
 #: Templates up to this many rows are broadcast (24 bytes each); larger ones are joined by host.
@@ -178,14 +179,6 @@ def _container(t: Token, known) -> int:
     return inner[-1].role if inner else 0
 
 
-def address(url):
-    """Host (lower case) and path of an address column."""
-    rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://(.*)$", 1)
-    host = F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)
-    path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
-
-
 def templates(pages: DataFrame) -> DataFrame:
     """``host``, ``role``, ``class``, ``place`` of each template token; host null: of all pages together.  ``pages``: row, host, html."""
 

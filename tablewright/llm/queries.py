@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality, topk
+from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality, topk, url_filter
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op2_url_filter": url_filter.op2_url_filter,
     "op3_topk": topk.op3_topk,
     "op4_html_text": html_extract.op4_html_text,
     "op5_packing": packing.op5_packing,
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_url_filter": url_filter.OP2_SQL,
     "op3_topk": topk.OP3_SQL,
 }
