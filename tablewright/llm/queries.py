@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import bpe, html_extract, hpylm, langid, near_dedup, packing, quality, topk, url_filter
+from . import bpe, html_extract, hpylm, langid, license_scan, near_dedup, packing, quality, topk, url_filter
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op4_html_text": html_extract.op4_html_text,
     "op5_packing": packing.op5_packing,
     "op6_langid": langid.op6_langid,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op8_quality": quality.op8_quality,
     "op9_bpe": bpe.op9_bpe,
     "op10_lm_score": hpylm.op10_lm_score,
@@ -23,4 +24,5 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op3_topk": topk.OP3_SQL,
+    "op7_license_scan": license_scan.OP7_SQL,
 }
