@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,11 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+def release() -> None:
+    """Give memory that a worker has freed back to the system; workers live on after a task and share their executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def two_columns(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -68,6 +72,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
         yield batch.slice(first, last - first)
         first = last
+    release()
 
 
 def stored(df: DataFrame) -> DataFrame:

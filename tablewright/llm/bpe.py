@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -49,6 +51,9 @@ def _printable() -> list[str]:
 
 #: Stands for the end-of-word mark in a label; no printable character of a byte is this one.
 MARK = "\0"
+#: Stands for the mark in bytes; UTF-8 never has this byte.
+_END_BYTE = b"\xff"
+_LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Longer words don't go through the table of tails.
 LONG = 100
 
@@ -198,6 +203,22 @@ class Tails:
             t = a.shorter[t]
         return b""
 
+    def accepted(self, tokens: list[int]) -> bool:
+        """Is there a path of arcs with these labels?  Then they are the encoding of the word that they spell."""
+        a, before = self.automaton, -1
+        arcs, sound = a.arcs, a.sound
+        for t in tokens:
+            if not sound[t]:
+                return False
+            if before >= 0:
+                ok = arcs.get((before, t))
+                if ok is None:
+                    ok = arcs[before, t] = a._arc(before, t, len(a.time))
+                if not ok:
+                    return False
+            before = t
+        return True
+
     def word(self, symbols: str) -> bytes:
         if len(symbols) > LONG:
             return b"".join([self.raw[t] for t in self.automaton.word(symbols)])
@@ -224,7 +245,8 @@ class Recent(dict):
 class Coder:
     """Encodes and decodes whole texts; arcs and recent words are kept in tables of bounded size."""
 
-    def __init__(self, source: bytes, keep: int = 300_000) -> None:
+    def __init__(self, source: bytes, keep: int = 300_000, propose: bool = False) -> None:
+        """``propose``: let a byte-pair library propose a word's tokens, and take them if the automaton accepts them."""
         spec = json.loads(source)
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or spec["model"]["type"] != "BPE":
@@ -239,12 +261,30 @@ class Coder:
         for name, t in [*self.automaton.vocab.items(), *self.special.items()]:
             self.labels[t] = name
         self.raw = [np.array([t], "<u4").tobytes() for t in range(len(self.labels))]
-        self.tails = Tails(self.automaton, self.raw, keep)
-        self.by_word = Recent(self._word, keep)
+        self.tails = Tails(self.automaton, self.raw, keep // 3)
+        self.proposed = self._proposer() if propose and self.automaton.end else None
+        self.by_word = Recent(self._word, keep // 10)
         self.by_chunk = Recent(self._chunk, keep)
 
+    def _proposer(self):
+        """A library's merging by rank of concatenations; where those ranks lead it elsewhere, the automaton refuses."""
+        import tiktoken
+
+        of = {c: bytes([b]) for b, c in enumerate(self.byte)}
+        ranks = {}
+        for name, t in self.automaton.vocab.items():
+            label = name.removesuffix(self.automaton.end)
+            ranks[b"".join([of[c] for c in label]) + (_END_BYTE if label != name else b"")] = t
+        if len(ranks) < len(self.automaton.vocab) or any(bytes([b]) not in ranks for b in range(256)):
+            return None
+        return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
     def _word(self, piece: str) -> bytes:
         byte = self.byte
+        if self.proposed is not None:
+            tokens = self.proposed(piece.encode() + _END_BYTE)
+            if self.tails.accepted(tokens):
+                return array("I", tokens).tobytes() if _LITTLE else b"".join([self.raw[t] for t in tokens])
         plain = piece.isascii() and piece.isprintable()  # no space is in a piece
         symbols = piece if plain else "".join([byte[b] for b in piece.encode()])
         if len(self.automaton.arcs) > 1_000_000:
@@ -254,16 +294,23 @@ class Coder:
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-        return b"".join([self.by_word[p] for p in self.pieces(text.lower())])
+        text = text.lower()
+        if text.isalpha():
+            return self._word(text)
+        if text[-1:] in (".", ",") and text[:-1].isalpha():
+            return self.by_chunk[text[:-1].encode()] + self.by_word[text[-1]]
+        return b"".join([self.by_word[p] for p in self.pieces(text)])
 
     def _chunk(self, chunk: bytes) -> bytes:
         """Ids of what lies between two white spaces; no word crosses white space."""
+        if chunk.isalpha():
+            return self._word(chunk.decode().lower())
         text = chunk.decode()
         if "<|" not in text:
             return self._plain(text)
         out, at = [], 0
         for m in self.specials.finditer(text):
-            out += [self._plain(text[at : m.start()]), np.array([self.special[m[0]]], "<u4").tobytes()]
+            out += [self._plain(text[at : m.start()]), self.raw[self.special[m[0]]]]
             at = m.end()
         return b"".join([*out, self._plain(text[at:])])
 
@@ -278,9 +325,9 @@ class Coder:
         return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(1)
-def coder(source: bytes) -> Coder:
-    return Coder(source)
+@lru_cache(2)
+def coder(source: bytes, propose: bool = False) -> Coder:
+    return Coder(source, propose=propose)
 
 
 def default_source(path: str | None = None) -> bytes:

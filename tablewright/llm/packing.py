@@ -95,14 +95,17 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode: Callable[[bytes], bytes] = bpe.coder(shared.value).encode
+        encode: Callable[[bytes], bytes] = bpe.coder(shared.value, True).encode
         bins = Bins(capacity, TaskContext.get().partitionId() << 40)
         for batch in batches:
+            known: dict[int, list[tuple[int, int]]] = {}
             for k, t in bpe.texts_of(batch):
                 ids = encode(t) + last
                 n = len(ids) // 4
                 view = memoryview(ids)
-                for at, size in cuts(n, capacity):
+                if n not in known:
+                    known[n] = cuts(n, capacity)
+                for at, size in known[n]:
                     bins.add(size, (k, at, size, zlib.crc32(view[4 * at : 4 * (at + size)]), n))
                 if len(bins.done) >= ROWS:
                     yield _rows(bins)
