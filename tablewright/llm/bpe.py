@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import sys
 import unicodedata
 from array import array
@@ -33,7 +34,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from ._spark import slices, two_columns
@@ -242,21 +242,45 @@ class Recent(dict):
         return value
 
 
+#: How a vocabulary file of this kind says its words are cut: contractions, letters, single digits, other signs.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: White space outside ASCII.
+_SPACES = frozenset("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+#: The same over one stand-in for each kind of character outside ASCII.
+_LETTER, _DIGIT, _SPACE, _SIGN, _NEW = "\u00e9\u00b2\u00a0\u00a1\ufffd"
+_CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTER}]+|[0-9{_DIGIT}]|[^\\t-\\r a-z0-9{_LETTER}{_DIGIT}{_SPACE}]+")
+
+
+class _Kinds(dict):
+    """The stand-in of each character; characters this Python's tables don't know yet are ``_NEW``."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = unicodedata.category(c)
+        out = c if code < 128 else _SPACE if c in _SPACES else _LETTER if kind[0] == "L" else _DIGIT if kind[0] == "N" else _NEW if kind == "Cn" else _SIGN
+        if len(self) < 100_000:
+            self[code] = out
+        return out
+
+
 class Coder:
     """Encodes and decodes whole texts; arcs and recent words are kept in tables of bounded size."""
 
-    def __init__(self, source: bytes, keep: int = 300_000, propose: bool = False) -> None:
+    def __init__(self, source: bytes, keep: int = 200_000, propose: bool = False) -> None:
         """``propose``: let a byte-pair library propose a word's tokens, and take them if the automaton accepts them."""
         spec = json.loads(source)
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or spec["model"]["type"] != "BPE":
             raise ValueError("this vocabulary cuts texts in another way than the encoder does")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        if split["pattern"]["Regex"] != CUTS:
+            raise ValueError("this vocabulary cuts words in another way than the encoder does")
+        self.source, self.library, self.kinds = source, None, _Kinds()
         self.byte = _printable()
+        self.code = {c: b for b, c in enumerate(self.byte)}
         self.automaton = Automaton(spec["model"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.specials = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
+        self.specials = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.labels = [""] * (max([*self.automaton.vocab.values(), *self.special.values()]) + 1)
         for name, t in [*self.automaton.vocab.items(), *self.special.items()]:
             self.labels[t] = name
@@ -291,7 +315,8 @@ class Coder:
             self.automaton.arcs.clear()
         return self.tails.word(symbols)
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, raw: str) -> bytes:
+        text = raw
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
         text = text.lower()
@@ -299,7 +324,21 @@ class Coder:
             return self._word(text)
         if text[-1:] in (".", ",") and text[:-1].isalpha():
             return self.by_chunk[text[:-1].encode()] + self.by_word[text[-1]]
-        return b"".join([self.by_word[p] for p in self.pieces(text)])
+        return b"".join([self.by_word[p] for p in self._pieces(text, raw)])
+
+    def _pieces(self, text: str, raw: str) -> list[str]:
+        if text.isascii():
+            return _CUT.findall(text)
+        kinds = text.translate(self.kinds)
+        if _NEW not in kinds:
+            return [text[m.start() : m.end()] for m in _CUT.finditer(kinds)]
+        # characters newer than this Python: the library's own tables cut the text, as they may cut it otherwise
+        if self.library is None:
+            import tokenizers
+
+            self.library = tokenizers.Tokenizer.from_str(self.source.decode())
+        text = self.library.normalizer.normalize_str(raw)
+        return [bytes([self.code[c] for c in p]).decode() for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def _chunk(self, chunk: bytes) -> bytes:
         """Ids of what lies between two white spaces; no word crosses white space."""
