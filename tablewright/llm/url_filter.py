@@ -117,17 +117,19 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Seque
 
 
 def _threshold(scores: DataFrame) -> int:
-    """The least score that is allowed.
+    """The least score that is allowed: between two neighbouring ranges, 0 if it lies there, else the middle.
 
     Scores are whole millionths; errors are counted over ranges of a thousandth, at most a few ten thousand
     rows however many addresses there are.
     """
     held = scores.where("good + bad > 0").groupBy(F.floor(F.col("score") / 1000).alias("bin")).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy("bin").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    errors = held.withColumn("errors", F.coalesce(F.sum("good").over(below), F.lit(0)) + F.sum("bad").over(after))
-    best = errors.orderBy("errors", F.abs("bin"), "bin").limit(1).collect()
-    return int(best[0].bin) * 1000 if best else 0
+    order = Window.orderBy("bin")
+    below = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    errors = held.withColumns({"errors": F.coalesce(F.sum("good").over(below), F.lit(0)) + F.sum("bad").over(after), "low": F.coalesce(F.lag("bin").over(order) + 1, F.col("bin"))})
+    cut_at = F.when((F.col("low") <= 0) & (F.col("bin") >= 0), F.lit(0)).otherwise(F.floor((F.col("low") + F.col("bin")) / 2)).cast("long")
+    best = errors.withColumn("cut", cut_at).orderBy("errors", F.abs("cut"), "bin").limit(1).collect()
+    return int(best[0].cut) * 1000 if best else 0
 
 
 def op2_url_filter(spark, sf_dir: str) -> DataFrame:
@@ -162,8 +164,9 @@ def _sql() -> str:
         f"places AS (SELECT address, substr(repeat(chr(1), {ORDER}) || address || chr(1), CAST(pos AS BIGINT), {width}) AS gram FROM (SELECT address, unnest(range(1, length(address) + 2)) AS pos FROM (SELECT DISTINCT address FROM listed)))",
         "scores AS (SELECT address, CASE WHEN length(address) > 0 THEN CAST(floor(CAST(sum(ratio) AS DOUBLE) / (length(address) + 1)) AS BIGINT) ELSE 0 END AS score FROM places JOIN ratio USING (gram) GROUP BY address)",
         "bins AS (SELECT CAST(floor(score / 1000) AS BIGINT) AS bin, count(*) FILTER (listed = 'allow') AS good, count(*) FILTER (listed = 'block') AS bad FROM listed JOIN scores USING (address) WHERE fold = 0 AND listed IS NOT NULL GROUP BY 1)",
-        "errors AS (SELECT bin, coalesce(sum(good) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + sum(bad) OVER (ORDER BY bin ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS errors FROM bins)",
-        "lim AS (SELECT CASE WHEN (SELECT sum(allow) > 0 AND sum(block) > 0 FROM s_0) THEN coalesce((SELECT bin * 1000 FROM errors ORDER BY errors, abs(bin), bin LIMIT 1), 0) ELSE 0 END AS least)",
+        "errors AS (SELECT bin, coalesce(sum(good) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + sum(bad) OVER (ORDER BY bin ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS errors, coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin) AS low FROM bins)",
+        "cuts AS (SELECT *, CASE WHEN low <= 0 AND bin >= 0 THEN 0 ELSE CAST(floor((low + bin) / 2.0) AS BIGINT) END AS cut FROM errors)",
+        "lim AS (SELECT CASE WHEN (SELECT sum(allow) > 0 AND sum(block) > 0 FROM s_0) THEN coalesce((SELECT cut * 1000 FROM cuts ORDER BY errors, abs(cut), bin LIMIT 1), 0) ELSE 0 END AS least)",
     ]
     return "WITH " + ",\n".join(parts) + "\nSELECT page_id, host, path, rule, coalesce(listed, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict, score FROM listed JOIN scores USING (address), lim"
 
