@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a Python worker.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = (1 << 20) - 1
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -76,15 +78,31 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the checkpoint folder and read it again: narrower than ``cut`` for rows of many bytes."""
-    import uuid
+    """Write ``df`` as Parquet below the checkpoint folder and read it again: much narrower there than ``cut``.
 
+    The tables of a session go when its Python process ends.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    top = f"{checkpoint_dir(spark)}/tables-{_RUN}"
+    if top not in _made:
+        _made.add(top)
+        atexit.register(_drop, spark, top)
+    path = f"{top}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_RUN = uuid.uuid4().hex
+_made: set[str] = set()
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the session may be gone
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A setting that holds for the actions run inside."""

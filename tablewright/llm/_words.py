@@ -30,14 +30,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Powers that are kept; longer tables, for texts longer than a slice, are made for the call.
+_KEPT = 1 << 20
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_STEP, _BACK)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    n = 1 << (n - 1).bit_length()
+    made = []
+    for base in (_STEP, _BACK):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p, out=p))
+    if n <= _KEPT:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

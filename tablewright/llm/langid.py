@@ -170,7 +170,7 @@ class Model:
         return [self.langs[b] if ok else UND for b, ok in zip(best, lettered, strict=True)], score
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 60, chars_per_lang: int = 40_000) -> Model:
+def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 60, chars_per_lang: int = 30_000) -> Model:
     """Learn from the rows of ``labelled`` with text and language.
 
     The ids with the smallest hashes are found language by language before any text moves; then the texts of

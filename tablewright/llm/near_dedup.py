@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _words
-from ._spark import bytes_of, cut, slices, two_columns
+from ._spark import bytes_of, cut, slices, stored, two_columns
 
 WORDS = 5
 ROWS, BANDS = 4, 32
@@ -163,27 +163,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 75) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each document."""
     rows = two_columns(docs, key, text).where("id is not null")
-    sketched = cut(_sketched(rows))
+    sketched = stored(_sketched(rows))
     classes = sketched.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.any_value("keys").alias("keys"))
-    members = cut(classes.select("rep", "n", "f1", "f2", "keys"))
+    members = stored(classes.select("rep", "n", "f1", "f2", "keys"))
     keyed = members.select("rep", "n", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1").select("key", F.col("lead.rep").alias("leader"), F.col("lead.n").alias("leader_n"))
-    shared = cut(keyed.join(buckets, "key"))
+    shared = stored(keyed.join(buckets, "key"))
     near = f"100 * least({{0}}, {{1}}) >= {least} * greatest({{0}}, {{1}})"
-    first = cut(shared.where("rep <> leader").where(near.format("n", "leader_n")).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
-    sets = cut(_sets(rows.join(shared.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")))
-    linked = cut(_verified(first, sets, least))
+    first = stored(shared.where("rep <> leader").where(near.format("n", "leader_n")).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
+    sets = stored(_sets(rows.join(shared.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")))
+    linked = stored(_verified(first, sets, least))
     labels = components(linked)
 
     held = shared.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component"))
     open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "rep").alias("main")).where("low <> high").select("key", "main")
-    unsettled = cut(held.join(open_keys, "key").join(sets.select(F.col("id").alias("rep"), "bits"), "rep"))
-    other = unsettled.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("bits").alias("bits2"))
+    unsettled = stored(held.join(open_keys, "key"))
+    bits = sets.select(F.col("id").alias("rep"), "bits")
+    other = unsettled.join(bits, "rep").select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("bits").alias("bits2"))
     differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits2")[k])) for k in range(PARITIES // 64)), F.lit(0))
-    rest = unsettled.where("component <> main").join(other, "key").where("component <> component2 and rep2 <> leader").where(near.format("n", "n2"))
+    rest = unsettled.where("component <> main").join(bits, "rep").join(other, "key").where("component <> component2 and rep2 <> leader").where(near.format("n", "n2"))
     rest = rest.where(differ * (100 + least) <= (F.col("n") + F.col("n2")) * (100 - least))
     rest = rest.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = cut(_verified(rest, sets, least))
+    more = stored(_verified(rest, sets, least))
     labels = components(linked.union(more)) if not more.isEmpty() else labels
 
     of_class = members.select("f1", "f2", "n", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
