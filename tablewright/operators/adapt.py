@@ -99,21 +99,41 @@ def _series(s: pd.Series) -> Column:
     return have, s.astype(object).where(s.notna(), None).tolist()
 
 
+def _shapes(frame: pd.DataFrame) -> tuple[pd.DataFrame, dict[str, list]]:
+    """A frame whose geometry column (values with ``wkb``) is a binary column named Geometry, and the table metadata that goes with it."""
+    at = next((k for k in range(frame.shape[1]) if str(frame.dtypes.iloc[k]) == "geometry"), None)
+    if at is None:
+        return frame, {}
+    column = frame.iloc[:, at]
+    wkb = pd.Series([None if v is None else bytes(v.wkb) for v in column], index=frame.index, dtype=object)
+    wkb.attrs = {"type": "Binary", "metadata": {"MapChart.ColumnTypeId": "Geometry", "ContentType": "application/x-wkb"}}
+    parts = [frame.iloc[:, k] for k in range(frame.shape[1])]
+    names = [str(c) for c in frame.columns]
+    parts[at], names[at] = wkb, "Geometry"
+    out = pd.DataFrame(dict(enumerate(parts)))
+    out.columns, out.attrs = names, frame.attrs
+    crs = getattr(column, "crs", None)
+    meta = {"MapChart.IsGeocodingTable": [True]} | ({"MapChart.GeographicCrs": [str(crs)]} if crs is not None else {})
+    return out, meta | {"geometry attrs": [wkb.attrs]}
+
+
 def _frame(frame: pd.DataFrame, spark: SparkSession) -> Table:
+    frame, shaped = _shapes(frame)
+    geometry = shaped.pop("geometry attrs", [{}])[0]
     names = [str(c) for c in frame.columns]
     if len(set(names)) < len(names):
         raise TableError("column names are not unique")
     columns = {n: _series(frame.iloc[:, k]) for k, n in enumerate(names)}
     df, out = _columns(spark, columns).df, []
     for k, n in enumerate(names):
-        attrs = frame.iloc[:, k].attrs
+        attrs = geometry if geometry and n == "Geometry" else frame.iloc[:, k].attrs
         extra = {}
         if kinds.is_type(attrs.get("type")):
             extra["tablewright.declared"] = attrs["type"]
         if attrs.get("metadata"):
             extra[META_KEY] = encode(attrs["metadata"])
         out.append(kinds.column(n).alias(n, metadata={**(df.schema[n].metadata or {}), **extra}))
-    return Table(df.select(*out) if out else df, {k: v if isinstance(v, list) else [v] for k, v in frame.attrs.get("metadata", {}).items()})
+    return Table(df.select(*out) if out else df, {k: v if isinstance(v, list) else [v] for k, v in frame.attrs.get("metadata", {}).items()} | shaped)
 
 
 def _plain(value, kind: str):

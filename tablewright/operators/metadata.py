@@ -195,6 +195,15 @@ def set_geocoding_table(table: DataFrame | Table, geometry: str = GEOMETRY, crs:
     return Table(df, meta)
 
 
+def geo_table(table: Table) -> Table:
+    """A stored table that maps places: its geometry must be a Binary column; everything stays WKB."""
+    if not (table.metadata.get("MapChart.IsGeocodingTable") or [False])[0]:
+        raise TableError("the table is not marked as one that maps places")
+    if get_types(table).get(GEOMETRY) != "Binary":
+        raise TableError(f"cannot read geometries: there is no Binary column '{GEOMETRY}'")
+    return table
+
+
 def metadata_report(table: DataFrame | Table, most: int = 80_000) -> str:
     """Table and column metadata as text, from the schema alone; columns stop after ``most`` characters."""
     from pprint import pformat

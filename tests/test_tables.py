@@ -176,3 +176,62 @@ def test_packages(spark):
     new = spark.createDataFrame([("p", "1.10"), ("q", "1.9.9"), ("s", "1")], "name string, version string")
     assert {r.name: r.change for r in packages.compare(old, new).collect()} == {"p": "upgraded", "q": "downgraded", "r": "removed", "s": "added"}
     assert packages.needs_major(old, new) and packages.next_version("1.2.3", True) == "2.0.0.0" and packages.next_version("1.2", False) == "1.3.0.0"
+
+
+class Shape:
+    def __init__(self, wkb):
+        self.wkb = wkb
+
+
+class GeometryDtype(pd.api.extensions.ExtensionDtype):
+    name, type, kind = "geometry", Shape, "O"
+
+    @classmethod
+    def construct_array_type(cls):
+        return GeometryArray
+
+
+class GeometryArray(pd.api.extensions.ExtensionArray):
+    """As much of a geometry column as the adapter sees."""
+
+    dtype = GeometryDtype()
+    crs = "EPSG:4326"
+
+    def __init__(self, values):
+        self.values = list(values)
+
+    @classmethod
+    def _from_sequence(cls, values, dtype=None, copy=False):
+        return cls(values)
+
+    def __len__(self):
+        return len(self.values)
+
+    def __getitem__(self, k):
+        return self.values[k] if isinstance(k, int) else GeometryArray(np.array(self.values, object)[k].tolist())
+
+    def isna(self):
+        return np.array([v is None for v in self.values])
+
+    def copy(self):
+        return GeometryArray(self.values)
+
+    def take(self, indices, allow_fill=False, fill_value=None):
+        return GeometryArray([self.values[i] for i in indices])
+
+
+def test_geometry_frame(spark, tmp_path):
+    point = wkb(1, (3, 4))
+    frame = pd.DataFrame({"name": ["a", "b"], "where": GeometryArray([Shape(point), None])})
+    write_table(frame, tmp_path / "g", spark=spark)
+    back = meta.geo_table(read_table(spark, tmp_path / "g"))
+    assert [tuple(r) for r in back.df.orderBy("name").collect()] == [("a", point), ("b", None)]
+    assert meta.column_metadata(back, "Geometry")["ContentType"] == ["application/x-wkb"]
+    with pytest.raises(TableError):
+        meta.geo_table(Table(spark.range(1)))
+
+
+def test_bundle():
+    from tablewright import support
+
+    assert "pyspark" in support.bundle()
