@@ -42,8 +42,16 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def small_batches(spark: SparkSession, most: int = 1000) -> None:
+    """Let at most ``most`` rows, which may be long texts, go to a Python worker at once.  A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= most:
+        spark.conf.set(name, str(most))
+
+
 def two_columns(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and ``text`` alone, so that columns of other names cannot clash; null text stays null."""
+    small_batches(df.sparkSession)
     return df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
 

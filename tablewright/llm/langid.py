@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._spark import slices
+from ._spark import slices, small_batches
 
 LANE = 2048
 #: Signs handled at once in a worker.
@@ -202,6 +202,7 @@ def identify(docs: DataFrame, model: Model | Broadcast, key: str = "doc_id", tex
                 langs, score = shared.value.predict(texts)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
@@ -209,6 +210,7 @@ def identify(docs: DataFrame, model: Model | Broadcast, key: str = "doc_id", tex
 def keep_known(docs: DataFrame, model: Model | Broadcast, text: str = "text", least: float = 0.3) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are in a known language with a score of ``least`` or more."""
     shared = model if isinstance(model, Broadcast) else docs.sparkSession.sparkContext.broadcast(model)
+    small_batches(docs.sparkSession)
     schema, place = docs.schema, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

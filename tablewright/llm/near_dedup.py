@@ -203,3 +203,24 @@ def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+
+
+OP1_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split
+), sizes AS (
+  SELECT doc_id, count(s) AS n FROM (SELECT DISTINCT doc_id FROM split) LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""

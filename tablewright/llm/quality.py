@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _words
-from ._spark import bytes_of, slices, two_columns
+from ._spark import bytes_of, slices, small_batches, two_columns
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -140,6 +140,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", limits: Li
 
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is kept.  One narrow pass: the verdict travels with the row."""
+    small_batches(docs.sparkSession)
     limits, names, place = limits or Limits(), docs.schema, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,3 +158,41 @@ def op8_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return measure(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
+
+
+def _sql(limits: Limits) -> str:
+    word = r"[\x20\x09-\x0D]"
+    parts = [
+        f"texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '{word}+'), lambda x: x <> '') AS w FROM documents)",
+        "places AS (SELECT row, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM texts)",
+        "counts AS (SELECT row, count(*) AS n_words, sum(length(word)) AS word_chars FROM places GROUP BY row)",
+        "again AS (SELECT row, sum((n - 1) * length(word)) AS chars FROM (SELECT row, word, count(*) AS n FROM places GROUP BY ALL) GROUP BY row)",
+        f"lines AS (SELECT row, line, count(*) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY ALL)",
+        f"dup AS (SELECT row, sum(n - 1) AS n_dup_lines, sum((n - 1) * length(regexp_replace(line, '{word}', '', 'g'))) AS chars FROM lines GROUP BY row)",
+    ]
+    lengths = sorted({8, *(k for k, _ in limits.grams)})
+    for k in lengths:
+        parts += [
+            f"w{k} AS (SELECT row, i, array_to_string(w[i:i + {k - 1}], ' ') AS s FROM (SELECT row, w, unnest(range(1, len(w) - {k - 2})) AS i FROM texts))",
+            f"t{k} AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, s) AS n FROM w{k}) WHERE n > 1)",
+            f"c{k} AS (SELECT row, count(*) AS n, sum(length(word)) AS chars FROM (SELECT DISTINCT row, i + d AS i FROM t{k}, range({k}) r(d)) JOIN places USING (row, i) GROUP BY row)",
+        ]
+    whole = "greatest(coalesce(word_chars, 0), 1)"
+    bad = [
+        f"coalesce(dup.chars, 0) / {whole} > {limits.lines}",
+        f"length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) > {limits.symbols} * coalesce(n_words, 0)",
+        f"coalesce(again.chars, 0) / {whole} > least(0.95, {limits.repeat} + {limits.rise} * log2(greatest(coalesce(n_words, 0), 100) / 100))",
+        *(f"coalesce(c{k}.chars, 0) / {whole} > {most}" for k, most in limits.grams),
+    ]
+    joins = " ".join(f"LEFT JOIN {t} USING (row)" for t in ("counts", "again", "dup", *(f"c{k}" for k in lengths)))
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept FROM (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+      CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(c8.n, 0) AS n_repeat_words, {" OR ".join(bad)} AS bad
+    FROM texts {joins}))"""
+    )
+
+
+OP8_SQL = _sql(Limits())

@@ -22,7 +22,9 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_near_dedup": near_dedup.OP1_SQL,
     "op2_url_filter": url_filter.OP2_SQL,
     "op3_topk": topk.OP3_SQL,
     "op7_license_scan": license_scan.OP7_SQL,
+    "op8_quality": quality.OP8_SQL,
 }
