@@ -104,7 +104,7 @@ def _fixed(column: Column, seconds: Column, micros: Column) -> Column:
 
 
 def real_text(column: Column) -> Column:
-    """As Python writes a float.  Whole numbers and short fractions of moderate size need no Python."""
+    """As Python writes a float: its shortest form differs from Java's, so this is an Arrow function."""
     return _float_text(column.cast("double"))
 
 

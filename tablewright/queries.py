@@ -260,6 +260,28 @@ def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.compare(listed(3, 11), listed(4, 13))
 
 
+@query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n FROM events GROUP BY ALL")
+def streamed_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files, counted by day and type; the stream ends when its input does."""
+    import uuid
+
+    from .plans.steps import folder
+    from .streaming.tables import windowed_counts, write_latest
+
+    path = f"{folder(spark)}/streams/{uuid.uuid4().hex}"
+    schema = _read(spark, sf_dir, "events").schema
+    # a folder's files are a stream; a single file is matched by name within its folder
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir) if _single(spark, f"{sf_dir}/events.parquet") else spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    counts = windowed_counts(source, "ts", "1 day", "1 hour", "event_type")
+    write_latest(counts, f"{path}/data", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/data")
+
+
+def _single(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The script host over ``lineitem``: source, type policy, script and typed output."""
     return datafn_simple_math(spark, sf_dir)

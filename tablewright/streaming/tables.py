@@ -26,9 +26,18 @@ def windowed_counts(stream: DataFrame, time: str, width: str, late: str, *keys:
     """Rows for each window of ``width`` and key; rows later than ``late`` are dropped.  ``time`` may have no zone."""
     at = stream.withColumn("__at", F.col(time).cast("timestamp")).withWatermark("__at", late)
     out = at.groupBy(F.window("__at", width), *keys).agg(F.count("*").alias("n"))
-    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n")
+    return out.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end"), *keys, "n")
 
 
 def write_stream(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Append the stream to the Parquet files below ``path``; all input that is there now, then stop."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+
+
+def write_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the whole present result of an aggregated stream in the Parquet files at ``path``."""
+
+    def put(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
