@@ -89,7 +89,7 @@ def brute(ids, vectors, queries_, k):
                 continue
             n = min(len(x), len(y))
             scored.append((-sum(int(np.floor(256 * x[j])) * int(np.floor(256 * y[j])) for j in range(n)), i))
-        for rank, (s, i) in enumerate(sorted(set(scored) if False else sorted(scored))[:k], 1):
+        for rank, (s, i) in enumerate(sorted(scored)[:k], 1):
             out.add((q, rank, i, -s))
     return out
 
