@@ -93,6 +93,11 @@ def _float_text(values: pd.Series) -> pd.Series:
     return values.map(repr, na_action="ignore").astype(object).where(values.notna(), None)
 
 
+@F.pandas_udf(T.StringType())
+def _single_text(values: pd.Series) -> pd.Series:
+    return pd.Series([None if x != x else str(x) for x in values.to_numpy("float32")], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def _bytes_text(values: pd.Series) -> pd.Series:
     return values.map(lambda b: None if b is None else str(bytes(b)))
@@ -103,6 +108,11 @@ def _fixed(column: Column, seconds: Column, micros: Column) -> Column:
     return F.concat(seconds, F.when(micros == 0, "").otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))))
 
 
+def single_text(column: Column) -> Column:
+    """The shortest text that reads back as the same 32-bit number."""
+    return _single_text(column.cast("float"))
+
+
 def real_text(column: Column) -> Column:
     """As Python writes a float: its shortest form differs from Java's, so this is an Arrow function."""
     return _float_text(column.cast("double"))
@@ -133,7 +143,9 @@ def text(column: Column, have: str) -> Column:
     match have:
         case "Boolean":
             out = F.when(column, "True").otherwise("False")
-        case "SingleReal" | "Real":
+        case "SingleReal":
+            return single_text(column)
+        case "Real":
             return real_text(column)
         case "Binary":
             return _bytes_text(column)

@@ -64,6 +64,12 @@ def test_temporal_text(spark):
     assert tuple(row) == ("2020-01-02 03:04:05.778500", "2020-01-02 03:04:05", str(-dt.timedelta(days=1, seconds=1.5)), "12:34:56.789000")
 
 
+def test_real_text(spark):
+    df = spark.createDataFrame([(203.789, 1e10), (0.1, 0.1), (None, None), (float("nan"), float("nan")), (1e20, 1e22)], "s float, r double")
+    got = [tuple(r) for r in df.select(convert.convert(F.col("s"), "SingleReal", "String"), convert.convert(F.col("r"), "Real", "String")).collect()]
+    assert got == [("203.789", "10000000000.0"), ("0.1", "0.1"), (None, None), (None, None), ("1e+20", "1e+22")]
+
+
 def test_milliseconds(spark):
     df = spark.sql("select timestamp_ntz'0001-01-01 00:00:00.0019' a, timestamp_ntz'1969-12-31 23:59:59.9999' b, date'0001-01-02' c, interval '-0 00:00:00.0019' day to second d")
     got = df.select(convert.datetime_ms(F.col("a")), convert.datetime_ms(F.col("b")), convert.date_ms(F.col("c")), convert.timespan_ms(F.col("d"))).first()
