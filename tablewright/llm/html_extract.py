@@ -10,8 +10,9 @@ the article.
 
 Vectors are never gathered: a token's vector is known by the exclusive-or of a hash of (page, count) over the
 host's pages, which workers add up before anything is shuffled, so a host with a third of all pages is no more
-work for one task than another.  Pages on hosts with fewer than ``SUPPORT`` pages take the template that all
-pages together have.
+work for one task than another.  Text nodes are in a template only if half of the host's pages have them, so a
+template is as large as the pages' common structure, however many pages there are.  Pages on hosts with fewer
+than ``SUPPORT`` pages have no template; their elements are taken as they are.
 
 The article's slots are those inside the template's ``article`` or ``main`` element; where a template has none,
 the slots of the element with most text.  Menus, headers, footers, sidebars, forms, scripts, styles and
@@ -33,14 +34,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import _words
-from ._spark import cut, slices
+from ._spark import cut, slices, small_batches
 from .url_filter import address
 
 SUPPORT, SIZE = 3, 3
@@ -66,7 +65,7 @@ _ARTICLE = frozenset(("article", "main"))
 _ENDS = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th"}
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     name: str
     role: int
@@ -74,7 +73,7 @@ class Node:
     article: bool
 
 
-@dataclass
+@dataclass(slots=True)
 class Token:
     """A tag or a text node.  ``inside``: the open elements, outermost first; text nodes carry their text."""
 
@@ -91,7 +90,7 @@ def read(html: str) -> list[Token]:
 
     def text(piece: str) -> None:
         if piece:
-            out.append(Token(_role("#" + " ".join(unescape(piece).split()), stack), "#", piece, tuple(stack)))
+            out.append(Token(_role("#" + piece, stack), "#", piece, tuple(stack)))
 
     while at < end:
         m = _MARKUP.search(html, at)
@@ -120,7 +119,7 @@ def read(html: str) -> list[Token]:
         else:
             if stack and stack[-1].name == "p" or stack and name in _ENDS and stack[-1].name in (name, _ENDS[name]):
                 stack.pop()
-            named = " ".join(x.strip("\"'") for x in _NAMED.findall(m[3]))
+            named = " ".join(x.strip("\"'") for x in _NAMED.findall(m[3])) if m[3] else ""
             role = _role(f"{name} {named}", stack)
             article = name in _ARTICLE or bool(stack and stack[-1].article)
             never = name in _NEVER or name == "header" and not article or bool(named and _OTHER.search(named)) and name not in ("html", "body", *_ARTICLE)
@@ -130,7 +129,8 @@ def read(html: str) -> list[Token]:
 
 
 def _role(token: str, stack: list[Node]) -> int:
-    return xxhash.xxh64_intdigest(token, stack[-1].role if stack else 0) >> 1
+    """A token's role by its name and path: odd for text nodes, even for tags."""
+    return xxhash.xxh64_intdigest(token, stack[-1].role if stack else 0) >> 2 << 1 | token.startswith("#")
 
 
 def blocks(tokens: list[Token], wanted: set[int]) -> list[str]:
@@ -180,51 +180,49 @@ def _container(t: Token, known) -> int:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host``, ``role``, ``class``, ``place`` of each template token; host null: of all pages together.  ``pages``: row, host, html."""
+    """``host``, ``role``, ``class``, ``place`` of each template token.  ``pages``: row, host, html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                sums: dict[tuple[str | None, int], list] = {}
+                sums: dict[tuple[str, int], list] = {}
                 rows = zip(part.column("row").to_pylist(), part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True)
                 for row, host, html in rows:
                     tokens = [t for t in read(html or "") if t.role]
                     count = Counter(t.role for t in tokens)
                     first = {t.role: k for k, t in reversed(list(enumerate(t for t in tokens if t.text is None)))}
                     for role, n in count.items():
-                        mark = int(_words.mix(np.array([row * 1_000_003 + n], np.int64).view(np.uint64))[0].view(np.int64))
-                        for key in ((host, role), (None, role)):
-                            s = sums.setdefault(key, [0, 0, 0, 0.0])
-                            s[0] ^= mark
-                            s[1] += 1
-                            s[2] += n
-                            s[3] += first.get(role, 0)
+                        mark = xxhash.xxh64_intdigest(f"{row} {n}") >> 1
+                        s = sums.setdefault((host, role), [0, 0, 0.0])
+                        s[0] ^= mark
+                        s[1] += 1
+                        s[2] += first.get(role, 0)
                 if sums:
                     keys, values = zip(*sums.items(), strict=True)
                     hosts, roles = zip(*keys, strict=True)
-                    print_, pages_, times, places = zip(*values, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(roles, pa.int64()), pa.array(print_, pa.int64()), pa.array(pages_, pa.int64()), pa.array(times, pa.int64()), pa.array(places, pa.float64())], ["host", "role", "print", "pages", "times", "places"])
-
-    tokens = pages.mapInArrow(run, "host string, role long, print long, pages long, times long, places double")
-    vectors = tokens.groupBy("host", "role").agg(F.bit_xor("print").alias("class"), F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum("places").alias("places")).where(F.col("pages") >= SUPPORT)
+                    marks, counts, places = zip(*values, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (roles, marks, counts)), pa.array(places, pa.float64())], ["host", "role", "mark", "pages", "places"])
+
+    tokens = pages.mapInArrow(run, "host string, role long, mark long, pages long, places double")
+    vectors = tokens.groupBy("host", "role").agg(F.bit_xor("mark").alias("class"), F.sum("pages").alias("pages"), F.sum("places").alias("places")).where(F.col("pages") >= SUPPORT)
+    vectors = cut(vectors)  # it is used twice
+    whole = vectors.where("role % 2 = 0").groupBy("host").agg(F.max("pages").alias("host_pages"))
+    vectors = vectors.join(whole, "host").where("role % 2 = 0 or 2 * pages >= host_pages")
     large = vectors.groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.collect_list(F.struct("role", (F.col("places") / F.col("pages")).alias("place"))).alias("members")).where(F.col("size") >= SIZE)
     return large.select("host", "class", F.explode("members").alias("m")).select("host", F.col("m.role").alias("role"), "class", F.col("m.place").alias("place"))
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of each row."""
+    small_batches(pages.sparkSession)
     host, _ = address(F.col(url).cast("string"))
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).cast("string").alias("url"), host.alias("host"), F.col(html).cast("string").alias("html"))
     found = templates(rows.select(F.monotonically_increasing_id().alias("row"), "host", "html"))
     by_host = found.groupBy("host").agg(F.collect_list(F.struct("role", "class", "place")).alias("template"))
     by_host = cut(by_host)
-    all_pages = by_host.where("host is null").select("template").first()
-    common = {m.role: (m["class"], m.place) for m in all_pages.template} if all_pages else {}
-    by_host = by_host.where("host is not null")
     size = by_host.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
     if size <= BROADCAST_ROWS:
         by_host = F.broadcast(by_host)
-    shared = pages.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +231,7 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
                 of_host: dict[str, dict] = {}
                 for h, page, members in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("template"), strict=True):
                     if h not in of_host:
-                        of_host[h] = {m["role"]: (m["class"], m["place"]) for m in members.as_py()} if members.is_valid else shared.value
+                        of_host[h] = {m["role"]: (m["class"], m["place"]) for m in members.as_py()} if members.is_valid else {}
                     texts.append(extract(page, of_host[h]))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
