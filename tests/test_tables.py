@@ -63,6 +63,31 @@ def test_empty_tables(spark, tmp_path):
     assert read_table(spark, tmp_path / "bare").df.columns == []
 
 
+def test_slices_of_files(spark, tmp_path):
+    write_table(spark.range(95).coalesce(1), tmp_path / "t", per_slice=10)
+    assert len(list((tmp_path / "t" / "data").glob("*.parquet"))) == 10
+    write_table(spark.range(3), tmp_path / "t", mode="overwrite")
+    assert read_table(spark, tmp_path / "t").df.count() == 3
+
+
+def test_versions(spark, tmp_path):
+    write_table(spark.range(3), tmp_path / "t")
+    note = next((tmp_path / "t" / "meta").glob("part-*"))
+    for crc in (tmp_path / "t" / "meta").glob(".*.crc"):
+        crc.unlink()
+    note.write_text(note.read_text().replace('"version": "1.0"', '"version": "1.1"'))
+    with pytest.raises(TableError, match="unsupported version"):
+        read_table(spark, tmp_path / "t")
+
+
+def test_errors_leave_nothing(spark, tmp_path):
+    with pytest.raises(TableError):
+        write_table({"x": [1, "a"]}, tmp_path / "t", spark=spark)
+    with pytest.raises(TableError):
+        write_table(spark.range(3), tmp_path / "t", types={"id": "Date"})
+    assert not (tmp_path / "t").exists()
+
+
 def test_nan_is_missing(spark, tmp_path):
     write_table(spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double"), tmp_path / "t")
     assert sorted(str(r.x) for r in read_table(spark, tmp_path / "t").df.collect()) == ["1.0", "None", "None"]
