@@ -12,7 +12,7 @@ from .operators import metadata as meta
 from .operators import packages, slices
 from .operators.metadata import Table
 from .plans.datafn import DataFunction, Input, Output
-from .types import DATETIME, INTEGER, LONG, REAL, SINGLE, STRING, of_field, policy
+from .types import DATETIME, INTEGER, LONG, NAMES, REAL, SINGLE, STRING, convertible, of_field, policy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -215,6 +215,36 @@ def hosted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, [Input(t, "table", _read(spark, sf_dir, t)) for t in ("orders", "customer", "nation")], script, "out1")
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) <= 3""")
+def hosted_top_of_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An example of what a hosted script does; no operator of its own."""
+    script = (
+        "from pyspark.sql import Window, functions as F\n"
+        "w = Window.partitionBy('l_suppkey').orderBy(F.desc('l_extendedprice'), 'l_orderkey', 'l_linenumber')\n"
+        "out1 = in1.withColumn('n', F.row_number().over(w)).where('n <= 3').select('l_orderkey', 'l_linenumber', 'l_extendedprice')"
+    )
+    return _run(spark, [Input("in1", "table", _read(spark, sf_dir, "lineitem"))], script, "out1")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0) INTERSECT SELECT c_custkey FROM customer WHERE c_acctbal > 0")
+def hosted_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An example of what a hosted script does; no operator of its own."""
+    script = (
+        "idle = customer.select('c_custkey').join(orders.where('o_orderkey % 3 = 0').selectExpr('o_custkey as c_custkey'), 'c_custkey', 'left_anti')\n"
+        "out1 = idle.intersect(customer.where('c_acctbal > 0').select('c_custkey'))"
+    )
+    return _run(spark, [Input(t, "table", _read(spark, sf_dir, t)) for t in ("customer", "orders")], script, "out1")
+
+
+@query("""WITH names AS (SELECT unnest(['Boolean', 'Integer', 'LongInteger', 'SingleReal', 'Real', 'DateTime', 'Date', 'Time', 'TimeSpan', 'String', 'Binary', 'Currency']) AS name)
+SELECT h.name AS have, w.name AS want, w.name IN ('Boolean', 'String') OR h.name = w.name OR (h.name IN ('Boolean', 'Integer', 'LongInteger', 'SingleReal', 'Real') AND w.name IN ('Boolean', 'Integer', 'LongInteger', 'SingleReal', 'Real')) AS legal
+FROM names h CROSS JOIN names w""")
+def conversion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [F.struct(F.lit(h).alias("have"), F.lit(w).alias("want"), F.lit(convertible(h, w) or h == w).alias("legal")) for h in NAMES for w in NAMES]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 @query("SELECT 'l_orderkey' AS column_name, 'LongInteger' AS type, 'key of the order' AS note UNION ALL SELECT 'l_quantity', 'SingleReal', NULL")
 def metadata_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = meta.with_column_metadata(_read(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), "l_orderkey", {"note": "key of the order"})
