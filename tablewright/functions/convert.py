@@ -64,6 +64,7 @@ def ms_timespan(column: Column) -> Column:
 # ---- decimals of 16 bytes: a 96-bit coefficient, two unused bytes, a biased exponent and the sign
 
 
+# The exponent's bias and the end of the coefficient's range.
 _BIAS, _MOST = 6176, 2**96
 
 

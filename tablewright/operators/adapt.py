@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import types as kinds
 from ..errors import TableError
 from ..types import CURRENCY, INTEGER, LONG, REAL, SINGLE, SPARK, TIME, TIMESPAN, TYPE_KEY
-from .metadata import META_KEY, Table, encode
+from .metadata import COLUMN_ROLE, CONTENT, CRS, GEOMETRY, IS_GEOCODING, META_KEY, WKB, Table, encode
 
 _ARROW = {
     "Boolean": pa.bool_(),
@@ -106,14 +106,14 @@ def _shapes(frame: pd.DataFrame) -> tuple[pd.DataFrame, dict[str, list]]:
         return frame, {}
     column = frame.iloc[:, at]
     wkb = pd.Series([None if v is None else bytes(v.wkb) for v in column], index=frame.index, dtype=object)
-    wkb.attrs = {"type": "Binary", "metadata": {"MapChart.ColumnTypeId": "Geometry", "ContentType": "application/x-wkb"}}
+    wkb.attrs = {"type": "Binary", "metadata": {COLUMN_ROLE: GEOMETRY, CONTENT: WKB}}
     parts = [frame.iloc[:, k] for k in range(frame.shape[1])]
     names = [str(c) for c in frame.columns]
-    parts[at], names[at] = wkb, "Geometry"
+    parts[at], names[at] = wkb, GEOMETRY
     out = pd.DataFrame(dict(enumerate(parts)))
     out.columns, out.attrs = names, frame.attrs
     crs = getattr(column, "crs", None)
-    meta = {"MapChart.IsGeocodingTable": [True]} | ({"MapChart.GeographicCrs": [str(crs)]} if crs is not None else {})
+    meta = {IS_GEOCODING: [True]} | ({CRS: [str(crs)]} if crs is not None else {})
     return out, meta | {"geometry attrs": [wkb.attrs]}
 
 
@@ -126,7 +126,7 @@ def _frame(frame: pd.DataFrame, spark: SparkSession) -> Table:
     columns = {n: _series(frame.iloc[:, k]) for k, n in enumerate(names)}
     df, out = _columns(spark, columns).df, []
     for k, n in enumerate(names):
-        attrs = geometry if geometry and n == "Geometry" else frame.iloc[:, k].attrs
+        attrs = geometry if geometry and n == GEOMETRY else frame.iloc[:, k].attrs
         extra = {}
         if kinds.is_type(attrs.get("type")):
             extra["tablewright.declared"] = attrs["type"]

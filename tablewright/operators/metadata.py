@@ -18,7 +18,15 @@ from ..functions import geo
 
 #: Key of a column's own metadata among a field's.
 META_KEY = "tablewright.metadata"
+
+# Names that programs which draw maps look for.
 GEOMETRY = "Geometry"
+IS_GEOCODING, IS_ENABLED = "MapChart.IsGeocodingTable", "MapChart.IsGeocodingEnabled"
+GEOMETRY_KIND, CRS, COLUMN_ROLE, CONTENT = "MapChart.GeometryType", "MapChart.GeographicCrs", "MapChart.ColumnTypeId", "ContentType"
+WKB = "application/x-wkb"
+BOXES = ("XMin", "YMin", "XMax", "YMax", "XCenter", "YCenter")
+#: Fixed value: characters of column metadata after which a report stops.
+REPORT_CHARS = 80_000
 
 
 @dataclass
@@ -171,7 +179,7 @@ def set_geocoding_table(table: DataFrame | Table, geometry: str = GEOMETRY, crs:
     df, meta = _df(table), dict(table.metadata) if isinstance(table, Table) else {}
     if geometry not in df.columns:
         raise TableError(f"no geometry column '{geometry}'")
-    boxes = ["XMin", "YMin", "XMax", "YMax", "XCenter", "YCenter"]
+    boxes = BOXES
     df = df.drop(*(b for b in boxes if b in df.columns))
     found = [r[0] for r in df.select(geo.kind(F.col(geometry)).alias("k")).where("k is not null").distinct().limit(len(geo.KINDS) + 1).collect()]
     if len(found) > 1:
@@ -185,35 +193,35 @@ def set_geocoding_table(table: DataFrame | Table, geometry: str = GEOMETRY, crs:
         df = df.withColumn(b, F.col(f"__box.{b}"))
     df = df.withColumns({"XCenter": (F.col("XMin") + F.col("XMax")) / 2, "YCenter": (F.col("YMin") + F.col("YMax")) / 2}).drop("__box")
     for b in boxes:
-        df = with_column_metadata(df, b, {"MapChart.ColumnTypeId": b})
-    df = with_column_metadata(df, geometry, {"MapChart.ColumnTypeId": GEOMETRY, "ContentType": "application/x-wkb"})
-    meta |= {"MapChart.IsGeocodingTable": [True], "MapChart.IsGeocodingEnabled": [True]}
+        df = with_column_metadata(df, b, {COLUMN_ROLE: b})
+    df = with_column_metadata(df, geometry, {COLUMN_ROLE: GEOMETRY, CONTENT: WKB})
+    meta |= {IS_GEOCODING: [True], IS_ENABLED: [True]}
     if named:
-        meta["MapChart.GeometryType"] = [named]
+        meta[GEOMETRY_KIND] = [named]
     if crs:
-        meta["MapChart.GeographicCrs"] = [crs]
+        meta[CRS] = [crs]
     return Table(df, meta)
 
 
 def geo_table(table: Table) -> Table:
     """A stored table that maps places: its geometry must be a Binary column; everything stays WKB."""
-    if not (table.metadata.get("MapChart.IsGeocodingTable") or [False])[0]:
+    if not (table.metadata.get(IS_GEOCODING) or [False])[0]:
         raise TableError("the table is not marked as one that maps places")
     if get_types(table).get(GEOMETRY) != "Binary":
         raise TableError(f"cannot read geometries: there is no Binary column '{GEOMETRY}'")
     return table
 
 
-def metadata_report(table: DataFrame | Table, most: int = 80_000) -> str:
+def metadata_report(table: DataFrame | Table, most: int = REPORT_CHARS) -> str:
     """Table and column metadata as text, from the schema alone; columns stop after ``most`` characters."""
     from pprint import pformat
 
     meta = table.metadata if isinstance(table, Table) else {}
-    out = "table metadata:" + (f"\n {pformat(meta)}" if meta else " (no table metadata present)")
+    out = "table metadata:" + (f"\n {pformat(meta)}" if meta else " none")
     columns, blank = "", False
     for c in _df(table).columns:
         if len(columns) > most:
-            columns += "\n (truncated due to length)"
+            columns += "\n (too long, cut off here)"
             break
         of_column = column_metadata(table, c)
         if of_column:
@@ -221,7 +229,7 @@ def metadata_report(table: DataFrame | Table, most: int = 80_000) -> str:
         else:
             blank = True
     if not columns:
-        return out + "\ncolumn metadata: (no column metadata present)"
-    return out + "\ncolumn metadata:" + columns + ("\n (columns without metadata have been omitted)" if blank else "")
+        return out + "\ncolumn metadata: none"
+    return out + "\ncolumn metadata:" + columns + ("\n (columns without metadata are left out)" if blank else "")
 
 

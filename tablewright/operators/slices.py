@@ -9,9 +9,13 @@ from pyspark.sql import types as T
 from ..types import column, of_field
 
 
+# Cells of a slice, and the least rows.
+CELLS, LEAST = 100_000, 10
+
+
 def rows_per_slice(columns: int, asked: int = 0) -> int:
     """``asked`` if positive, else about 100,000 cells, 10 rows at least."""
-    return asked if asked > 0 else max(10, 100_000 // max(1, columns))
+    return asked if asked > 0 else max(LEAST, CELLS // max(1, columns))
 
 
 def slice_plan(df: DataFrame, asked: int = 0) -> DataFrame:

@@ -19,6 +19,7 @@ from .errors import TableError, TableWarning
 #: Key of the type's name in a field's metadata.
 TYPE_KEY = "tablewright.type"
 
+# The names of the types.
 BOOLEAN, INTEGER, LONG, SINGLE, REAL = "Boolean", "Integer", "LongInteger", "SingleReal", "Real"
 DATETIME, DATE, TIME, TIMESPAN = "DateTime", "Date", "Time", "TimeSpan"
 STRING, BINARY, CURRENCY = "String", "Binary", "Currency"

@@ -161,7 +161,7 @@ def test_metadata_operators(spark):
     with pytest.raises(TableError, match="missing"):
         meta.encode({"a": []})
     report = meta.metadata_report(Table(meta.with_column_metadata(df, "x", {"m": 1}), {"t": [1]}))
-    assert "x: {'m': [1]}" in report and "omitted" in report
+    assert "x: {'m': [1]}" in report and "left out" in report
 
 
 def wkb(kind, *pts):
