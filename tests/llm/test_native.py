@@ -120,3 +120,22 @@ def test_topk(spark, kind):
 def test_topk_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(df, df).count() == 0
+
+
+def test_whole_texts_of_usual_licenses(spark):
+    from tablewright.llm.license_texts import WHOLE
+
+    wrapped = {n: "Copyright (c) 2024 Someone\n\n" + t.replace("\n", "\r\n// ") for n, t in WHOLE.items()}
+    bsd = dict(license_scan._bsd())
+    cut = WHOLE["Apache-2.0"].split("APPENDIX:")[0]
+    texts = [*wrapped.items(), *bsd.items(), ("Apache-2.0", cut), ("GPL-2.0", WHOLE["GPL-2.0"].split("How to Apply These Terms")[0]), (None, cut[:-200])]
+    got = {r.doc_id: r.license for r in license_scan.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == {k: n for k, (n, _) in enumerate(texts)}
+
+
+def test_usual_headers(spark):
+    apache = '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.'
+    mpl = " * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"
+    texts = [(apache, "Apache-2.0"), (mpl, "MPL-2.0"), ("/* SPDX-License-Identifier: GPL-2.0-only */\nint x;", "GPL-2.0-only"), ("<!-- SPDX-License-Identifier: BSD-3-Clause -->", "BSD-3-Clause"), ("an SPDX line", "")]
+    got = {r.doc_id: r.notices for r in license_scan.scan(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == {k: n for k, (_, n) in enumerate(texts)}
