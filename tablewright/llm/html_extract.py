@@ -3,10 +3,10 @@
 A page is a sequence of tokens: block-level tags and text nodes, each with the role its path of open block
 elements gives it.  Over the pages of a host every token has an occurrence vector, how often it occurs in each
 page; tokens with equal vectors form an equivalence class.  Classes that are frequent (``SUPPORT`` pages or
-more), large (``SIZE`` tokens or more) and whose tags come in one order are valid; the class that occurs once
-in each page is the frame, the other valid classes are nested in its gaps, and all of them together are the
-host's template.  What lies between template tokens are the slots; the page's text is what fills the slots of
-the article.
+more), large (``SIZE`` tokens or more) are candidates; the class that occurs once in each page is the frame.  A second pass
+over the pages keeps the candidates whose tokens come in one order (once, or as one tuple again and again) on nine
+pages of ten and lie in one gap of the frame; they are the host's template.  What lies between template tokens are
+the slots; the page's text is what fills the slots of the article.
 
 Vectors are never gathered: a token's vector is known by the exclusive-or of a hash of (page, count) over the
 host's pages, which workers add up before anything is shuffled, so a host with a third of all pages is no more
@@ -14,13 +14,14 @@ work for one task than another.  Text nodes are in a template only if half of th
 template is as large as the pages' common structure, however many pages there are.  Pages on hosts with fewer
 than ``SUPPORT`` pages have no template; their elements are taken as they are.
 
-The article's slots are those inside the template's ``article`` or ``main`` element; where a template has none,
-the slots of the element with most text.  Menus, headers, footers, sidebars, forms, scripts, styles and
-elements named as notices, adverts or comments are never the article.
+Names tell slots apart: the article's are those inside the template's ``article`` or ``main`` element; where there is
+none, all slots in page order.  Menus, headers, footers, sidebars, forms, scripts, styles and elements named as
+notices, adverts or comments are never the article, but a form or a name around an article does not exclude it where
+the page has no other.  Blocks that are text of the template alone are left out, unless template text is more than a
+third of the page's slots: then the page is a copy of others.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks without text are
-left out, the others are joined by a line break in page order.  Nothing else is dropped, text that repeats on
-other pages neither.
+left out, the others are joined by a line break in page order.
 
 Defined results: null or empty html has the empty text; a null address has the empty host; rows with equal ids
 are extracted one by one; broken markup is read as far as it goes; other columns are ignored.
@@ -33,6 +34,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -61,6 +63,7 @@ _OTHER = re.compile(
     re.I,
 )
 _ARTICLE = frozenset(("article", "main"))
+_HARD = _NEVER - {"form"}
 #: What an open element of the same kind ends.
 _ENDS = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th"}
 
@@ -71,6 +74,8 @@ class Node:
     role: int
     never: bool
     article: bool
+    #: ``never`` but for names and forms around the article
+    inner: bool
 
 
 @dataclass(slots=True)
@@ -124,7 +129,10 @@ def read(html: str) -> list[Token]:
             article = name in _ARTICLE or bool(stack and stack[-1].article)
             never = name in _NEVER or name == "header" and not article or bool(named and _OTHER.search(named)) and name not in ("html", "body", *_ARTICLE)
             out.append(Token(role, name, None, tuple(stack)))
-            stack.append(Node(name, role, never or bool(stack and stack[-1].never), article))
+            outer = stack[-1] if stack else None
+            begins = article and not (outer and outer.article)
+            hard = outer and (any(n.name in _HARD for n in stack) if begins else outer.inner)
+            stack.append(Node(name, role, never or bool(outer and outer.never), article, never or bool(hard)))
     return out
 
 
@@ -147,36 +155,44 @@ def blocks(tokens: list[Token], wanted: set[int]) -> list[str]:
     return [b for b in out if b]
 
 
+def _sequences(tokens: list[Token], template: dict[int, tuple[int, float]]) -> dict[int, list[int]]:
+    """Each class's tokens in page order."""
+    found: dict[int, list[int]] = {}
+    for t in tokens:
+        if t.role in template:
+            found.setdefault(template[t.role][0], []).append(t.role)
+    return found
+
+
+def _in_order(sequence: list[int], template: dict[int, tuple[int, float]]) -> bool:
+    """Is the sequence one tuple, in the template's order, once or again and again?"""
+    tuple_ = sorted(set(sequence), key=lambda r: (template[r][1], r))
+    return sequence == tuple_ * (len(sequence) // len(tuple_))
+
+
 def extract(html: str | None, template: dict[int, tuple[int, float]]) -> str:
     """``template``: the class and the mean place of each token of the host's template."""
     if not html:
         return ""
     tokens = read(html)
-    count = Counter(t.role for t in tokens if t.text is None)
-    # the frame of this page: template tags that occur once, as long as they come in the template's order
-    frame = [t.role for t in tokens if t.text is None and count[t.role] == 1 and t.role in template]
-    ordered = all(template[a][1] <= template[b][1] + 1e-9 for a, b in zip(frame, frame[1:], strict=False))
-    known = template.keys() if ordered else ()
-    free = [(k, t) for k, t in enumerate(tokens) if t.text is not None and t.tag == "#" and t.inside and not t.inside[-1].never]
-    # a slot's element: the innermost open element that is in the template, else that is open at all
+    ordered = {c for c, sequence in _sequences(tokens, template).items() if _in_order(sequence, template)}
+    known = {r for r, (c, _) in template.items() if c in ordered}
+    texts = [(k, t) for k, t in enumerate(tokens) if t.text is not None and t.tag == "#" and t.inside]
+    free = [(k, t) for k, t in texts if not t.inside[-1].never]
     article = [(k, t) for k, t in free if any(n.name in _ARTICLE and (n.role in known or not known) for n in t.inside)]
     if not article:
-        article = [(k, t) for k, t in free if any(n.name in _ARTICLE for n in t.inside)]
-    if not article:
-        sizes: Counter = Counter()
-        for _, t in free:
-            if t.role not in known:
-                sizes[_container(t, known)] += len(t.text.strip())
-        if sizes:
-            best = max(sizes, key=lambda c: (sizes[c], -c))
-            article = [(k, t) for k, t in free if _container(t, known) == best]
-    return "\n".join(blocks(tokens, {k for k, _ in article}))
-
-
-def _container(t: Token, known) -> int:
-    outer = [n for n in t.inside if n.name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "td", "tr", "tbody", "table", "ul", "ol")]
-    inner = [n for n in outer if n.role in known] or outer
-    return inner[-1].role if inner else 0
+        article = [(k, t) for k, t in free if t.inside[-1].article]
+    if not any(t.text.strip() for _, t in article):
+        # an article that a form or the name of an element around it would exclude
+        article = [(k, t) for k, t in texts if t.inside[-1].article and not t.inside[-1].inner] or article
+    slots = article if any(t.text.strip() for _, t in article) else free
+    # a block that the template says itself is no slot; a page with more than a third of such text is a copy of others
+    block = list(accumulate(t.text is None for t in tokens))
+    said = {block[k] for k, t in slots if t.text.strip()} - {block[k] for k, t in slots if t.text.strip() and t.role not in known}
+    own = [(k, t) for k, t in slots if block[k] not in said]
+    if 3 * sum(len(t.text.strip()) for _, t in slots if t.role in known) > sum(len(t.text.strip()) for _, t in slots):
+        own = slots
+    return "\n".join(blocks(tokens, {k for k, _ in own}))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -190,26 +206,75 @@ def templates(pages: DataFrame) -> DataFrame:
                 for row, host, html in rows:
                     tokens = [t for t in read(html or "") if t.role]
                     count = Counter(t.role for t in tokens)
-                    first = {t.role: k for k, t in reversed(list(enumerate(t for t in tokens if t.text is None)))}
+                    first = {t.role: k for k, t in reversed(list(enumerate(tokens)))}
                     for role, n in count.items():
                         mark = xxhash.xxh64_intdigest(f"{row} {n}") >> 1
-                        s = sums.setdefault((host, role), [0, 0, 0.0])
+                        s = sums.setdefault((host, role), [0, 0, 0.0, 0])
                         s[0] ^= mark
                         s[1] += 1
-                        s[2] += first.get(role, 0)
+                        s[2] += first[role]
+                        s[3] += n
                 if sums:
                     keys, values = zip(*sums.items(), strict=True)
                     hosts, roles = zip(*keys, strict=True)
-                    marks, counts, places = zip(*values, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (roles, marks, counts)), pa.array(places, pa.float64())], ["host", "role", "mark", "pages", "places"])
+                    marks, counts, places, times = zip(*values, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (roles, marks, counts)), pa.array(places, pa.float64()), pa.array(times, pa.int64())], ["host", "role", "mark", "pages", "places", "times"])
 
-    tokens = pages.mapInArrow(run, "host string, role long, mark long, pages long, places double")
-    vectors = tokens.groupBy("host", "role").agg(F.bit_xor("mark").alias("class"), F.sum("pages").alias("pages"), F.sum("places").alias("places")).where(F.col("pages") >= SUPPORT)
+    tokens = pages.mapInArrow(run, "host string, role long, mark long, pages long, places double, times long")
+    vectors = tokens.groupBy("host", "role").agg(F.bit_xor("mark").alias("class"), F.sum("pages").alias("pages"), F.sum("places").alias("places"), F.sum("times").alias("times")).where(F.col("pages") >= SUPPORT)
     vectors = cut(vectors)  # it is used twice
     whole = vectors.where("role % 2 = 0").groupBy("host").agg(F.max("pages").alias("host_pages"))
     vectors = vectors.join(whole, "host").where("role % 2 = 0 or 2 * pages >= host_pages")
-    large = vectors.groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.collect_list(F.struct("role", (F.col("places") / F.col("pages")).alias("place"))).alias("members")).where(F.col("size") >= SIZE)
-    return large.select("host", "class", F.explode("members").alias("m")).select("host", F.col("m.role").alias("role"), "class", F.col("m.place").alias("place"))
+    vectors = vectors.withColumn("frame", F.expr("pages = host_pages and times = pages"))
+    large = vectors.groupBy("host", "class", "pages", "frame").agg(F.count("*").alias("size"), F.collect_list(F.struct("role", (F.col("places") / F.col("pages")).alias("place"))).alias("members")).where(F.col("size") >= SIZE)
+    found = cut(large.select("host", "class", "pages", "frame", F.explode("members").alias("m")).select("host", F.col("m.role").alias("role"), "class", F.col("m.place").alias("place"), "pages", "frame"))
+    return found.join(_valid(pages, found), ["host", "class"], "left_semi").select("host", "role", "class", "place")
+
+
+def _by_host(found: DataFrame, *more: str) -> DataFrame:
+    """The template of each host, broadcast if it is small."""
+    by_host = cut(found.groupBy("host").agg(F.collect_list(F.struct("role", "class", "place", *more)).alias("template")))
+    size = by_host.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
+    return F.broadcast(by_host) if size <= BROADCAST_ROWS else by_host
+
+
+def _valid(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """``host``, ``class`` of the classes in order on nine pages of ten, and in one gap of the frame on all of those."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                of_host: dict[str, tuple[dict, set]] = {}
+                seen: dict[tuple[str, int], list[int]] = {}
+                for host, html, members in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("template"), strict=True):
+                    if host not in of_host:
+                        ms = members.as_py()
+                        of_host[host] = {m["role"]: (m["class"], m["place"]) for m in ms}, {m["role"] for m in ms if m["frame"]}
+                    template, frame = of_host[host]
+                    tokens = read(html or "")
+                    sequences = _sequences(tokens, template)
+                    ordered = {c for c, sequence in sequences.items() if _in_order(sequence, template)}
+                    gaps: dict[int, list[int]] = {}
+                    gap = 0
+                    for t in tokens:
+                        if t.role in frame:
+                            gap += 1
+                        elif t.role in template:
+                            gaps.setdefault(template[t.role][0], []).append(gap)
+                    framed = all(template[r][0] in ordered for r in frame)
+                    for c in sequences:
+                        s = seen.setdefault((host, c), [0, 0, 1 << 31, -1])
+                        s[0] += 1
+                        s[1] += c not in ordered
+                        if c in ordered and c in gaps and framed:
+                            s[2], s[3] = min(s[2], *gaps[c]), max(s[3], *gaps[c])
+                if seen:
+                    hosts, classes = zip(*seen, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(classes, pa.int64()), *(pa.array(x, pa.int64()) for x in zip(*seen.values(), strict=True))], ["host", "class", "pages", "bad", "low", "high"])
+
+    rows = pages.join(_by_host(found, "frame"), "host").select("host", "html", "template")
+    sums = rows.mapInArrow(run, "host string, class long, pages long, bad long, low long, high long").groupBy("host", "class").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return sums.where("10 * bad <= pages and low >= high").select("host", "class")
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -218,11 +283,7 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
     host, _ = address(F.col(url).cast("string"))
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).cast("string").alias("url"), host.alias("host"), F.col(html).cast("string").alias("html"))
     found = templates(rows.select(F.monotonically_increasing_id().alias("row"), "host", "html"))
-    by_host = found.groupBy("host").agg(F.collect_list(F.struct("role", "class", "place")).alias("template"))
-    by_host = cut(by_host)
-    size = by_host.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
-    if size <= BROADCAST_ROWS:
-        by_host = F.broadcast(by_host)
+    by_host = _by_host(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

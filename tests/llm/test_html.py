@@ -71,3 +71,26 @@ def test_classes(spark):
     found = html_extract.templates(df)
     largest = found.groupBy("class").count().orderBy("count", ascending=False).first()
     assert largest["count"] >= 10  # the frame: html, head, body, nav, article and their ends occur once in each page
+
+
+def test_template_text_is_no_slot(spark):
+    """Boilerplate without a telling name, inside the article and without one."""
+    for open_, close in (("<article>", "</article>"), ("<div>", "</div>")):
+        rows = [(k, "https://own.example.com/", f"<body>{open_}<h1>Title {k}</h1><p>Paragraph {k} of the story</p><div class=x><p>Read more here</p></div>{close}</body>") for k in range(5)]
+        assert {k: r.text for k, r in run(spark, rows).items()} == {k: f"Title {k}\nParagraph {k} of the story" for k in range(5)}
+
+
+def test_names_around_an_article(spark):
+    wrapped = "<body><form><div class='page sidebar'><article><p>Inside</p><div class=ad>buy</div></article></div></form></body>"
+    both = "<body><article><p>Story</p></article><div class=comments><article><p>Reader</p></article></div></body>"
+    got = run(spark, [(1, None, wrapped), (2, None, both)])
+    assert (got[1].text, got[2].text) == ("Inside", "Story")
+
+
+def test_invalid_classes(spark):
+    """Tokens with equal vectors that come in another order on half of the pages are no template."""
+    three = ["<section><p>A</p></section>", "<dl><dt>B</dt></dl>", "<pre>C</pre>"]
+    pages_ = [(k, "h", f"<body><div><h1>{k}</h1>{''.join(three if k % 2 else three[::-1]) if k < 8 else ''}</div></body>") for k in range(12)]
+    found = html_extract.templates(spark.createDataFrame(pages_, "row long, host string, html string")).collect()
+    roles = {t.role for t in html_extract.read(pages_[1][2]) if t.tag in ("section", "dl", "pre")}
+    assert found and not roles & {r.role for r in found}
