@@ -73,6 +73,14 @@ def test_classes(spark):
     assert largest["count"] >= 10  # the frame: html, head, body, nav, article and their ends occur once in each page
 
 
+def test_all_slots_without_article_element(spark):
+    """Title, lead and story are slots of three elements; with and without a template."""
+    html = "<body><nav>Menu</nav><h1>Title {k}</h1><div class=lead>Lead {k}</div><div class=story><section><p>One {k}</p></section><section><p>Two {k} is longer</p></section></div><footer>Foot</footer></body>"
+    want = {k: f"Title {k}\nLead {k}\nOne {k}\nTwo {k} is longer" for k in range(6)}
+    rows = [(k, "https://slots.example.com/" if k else "https://single.example.org/", html.format(k=k)) for k in range(6)]
+    assert {k: r.text for k, r in run(spark, rows).items()} == want
+
+
 def test_template_text_is_no_slot(spark):
     """Boilerplate without a telling name, inside the article and without one."""
     for open_, close in (("<article>", "</article>"), ("<div>", "</div>")):
