@@ -10,8 +10,8 @@ Whole texts are parsed.  They are laid out as lanes of at most ``LANE`` signs, a
 all languages step through one table of transitions at once, so a text of any length costs memory by its
 slice alone; a phrase ends where its lane ends.
 
-Only the sample is bounded (``docs_per_lang`` documents and ``chars_per_lang`` signs a language, those with the
-smallest hash of their id): the classifier needs no more, and the table that goes to the workers stays within
+Only the sample is bounded (``docs_per_lang`` documents, those with the smallest hash of their id, and
+``chars_per_lang`` signs a language, of which each document gives an equal share): the classifier needs no more, and the table that goes to the workers stays within
 ``languages x 2 x chars_per_lang`` rows whatever the input's size.
 
 Defined results: null text or text without a letter is ``und`` with score 0; so is every text if nothing was
@@ -184,7 +184,16 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     if ids:
         for r in rows.where(F.col("id").isin(ids)).select("id", "lang", F.substring("text", 1, chars_per_lang).alias("text")).collect():
             samples.setdefault(r.lang, []).append((r.id, r.text))
-    return Model.of({k: [t for _, t in sorted(v)] for k, v in samples.items()}, chars_per_lang)
+    return Model.of({k: shares([t for _, t in sorted(v)], chars_per_lang) for k, v in samples.items()}, chars_per_lang)
+
+
+def shares(texts: list[str], most: int) -> list[str]:
+    """The beginnings of the texts, ``most`` signs in all (a space after each counts): an equal share of each, what short ones leave goes to the others."""
+    out, room = list(texts), most
+    for left, k in zip(range(len(texts), 0, -1), sorted(range(len(texts)), key=lambda k: len(texts[k])), strict=True):
+        out[k] = texts[k][: max(room // left - 1, 0)]
+        room -= len(out[k]) + 1
+    return out
 
 
 def _parts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:

@@ -75,3 +75,12 @@ def test_odd_rows(spark, data):
     assert langid.identify(odd.limit(0), model).count() == 0
     nothing = langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_every_chosen_document_is_in_the_sample(spark):
+    """A long document with a small id does not fill its language's sample."""
+    rows = [(0, "abc " * 20_000, "x"), *((k, f"{chr(0x3B1 + k)}{chr(0x3B1 + k)} " * 40, "x") for k in range(1, 15))]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert all(model.kind[0x3B1 + k] == model.kind[ord("q")] for k in (20,)) and all(model.kind[0x3B1 + k] != model.kind[ord("q")] for k in range(1, 15))
+    parts = langid.shares(["a" * 100, "b" * 3, "c" * 100], 40)
+    assert [len(p) for p in parts] == [17, 3, 17] and langid.shares([], 5) == [] and langid.shares(["ab"] * 9, 4) == [""] * 9
