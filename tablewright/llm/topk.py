@@ -1,24 +1,28 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Vectors are dealt by length (norm) into buckets of at most ``BUCKET`` vectors, longest first; each bucket is one
-row that knows its longest norm.  Queries are dealt alike into blocks of at most ``BLOCK``.  A query starts
-with a threshold, its k-th best score among the longest bucket (a bounded row, which is broadcast).  For a
-bucket with longest norm l the query q needs a cosine of ``threshold / (|q| l)`` at least, its local threshold:
-
-* above 1 no vector of the bucket can score enough, and the bucket is left out (for whole blocks before any
-  vector moves, for single queries after that);
-* above ``STEEP`` candidates must lie, in each of the query's ``FOCUS`` largest coordinates, in the interval that
-  the local threshold leaves for a unit vector (coordinate pruning);
+Vectors are dealt by length (norm) into buckets of at most ``BUCKET`` vectors, longest first, and ``NEAR``
+neighbouring buckets form a group; queries are dealt alike into blocks of at most ``BLOCK``.  A query starts with
+a threshold, its k-th best score among the longest bucket (a bounded row, which is broadcast).  For a bucket with
+longest norm l the query q needs a cosine of ``threshold / (|q| l)`` at least, its local threshold:
+
+* above 1 no vector of the bucket can score enough, and the bucket is left out; where that holds for all queries
+  of a block and all buckets of a group, the block isn't sent to the group at all;
+* where the coordinates that hold most of a block's length leave so little of it and of the bucket's vectors that
+  their remainders' product is at most ``SPARE`` of the local threshold, products are taken over those coordinates
+  alone, and by Cauchy-Schwarz only pairs with ``partial + |q rest| |v rest| >= threshold`` are verified on the
+  others (coordinate pruning);
 * else candidates are the bucket's vectors that are long enough (length pruning).
 
 Products of what is left are exact integers.  Thresholds rise while a worker goes through its buckets; the best
-k of each worker are merged by query.  Buckets meet blocks by group number, an equi-join in which each block is
-sent to each group of buckets once; no cross join.
+k of each worker are merged by query.  A group's buckets go to one task once and stay there while blocks of
+queries stream past them, so a vector is shuffled once and a query once for each group that it may have a
+neighbour in; no pair of a block and a bucket is ever a row.
 
 Defined results: a null vector, or one with a null, NaN or infinite component, takes no part; vectors of other
-dimension count as filled up with zeros; a null id takes no part; rows with equal ids are candidates one by one
-and are all left out for queries with that id; ties go to the smaller id; an empty table gives an empty
-result; other columns are ignored.
+dimension count as filled up with zeros; a null id takes no part.  Each row of ``queries`` is a query of its own,
+with its own ranks; rows of equal ids are candidates one by one, and are all left out for queries with that id.
+Ties go to the smaller id.  Components beyond the 64-bit range count as its ends; sums are exact however large, and
+a score beyond the 64-bit range is given as its end.  An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +37,14 @@ from pyspark.sql.window import Window
 
 from ._spark import setting, stored
 
-BUCKET, BLOCK = 1024, 256
-STEEP, FOCUS = 0.8, 4
+#: Vectors in a bucket, queries in a block, buckets in a group.
+BUCKET, BLOCK, NEAR = 1024, 256, 16
+#: Coordinate pruning pays if the remainders' product is expected to be at most this share of the local threshold.
+SPARE = 0.55
 #: Largest product sum that floating point holds exactly.
 _EXACT = 2.0**53
+#: Numbers that verification holds at once.
+_AT_ONCE = 1 << 21
 ROW = "id binary, vectors binary, dims int, rows int, longest double, part int, place int"
 
 
@@ -95,54 +103,78 @@ class Best:
         self.top: list[list[tuple[int, int]]] = [[] for _ in ids]
         self.floor = np.full(len(ids), -np.inf)
 
-    def meet(self, ids: np.ndarray, y: np.ndarray) -> None:
-        """A bucket's vectors, longest first."""
+    def meet(self, ids: np.ndarray, y: np.ndarray) -> tuple[int, int]:
+        """A bucket's vectors.  Products that length leaves, and those of them verified in full."""
         d = min(self.x.shape[1], y.shape[1])
         x, y = self.x[:, :d], y[:, :d]
-        norm = np.sqrt((y.astype(np.float64) ** 2).sum(1))
+        real = y.astype(np.float64)
+        norm = np.sqrt((real**2).sum(1))
         longest = norm.max(initial=0.0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            need = np.where(np.isfinite(self.floor), self.floor / (self.norm * longest), -np.inf)
-            need = np.where(self.norm * longest == 0, np.where(self.floor > 0, np.inf, -np.inf), need)
         slack = 1e-9
-        steep = np.flatnonzero((need > STEEP) & (need <= 1 + slack))
-        plain = np.flatnonzero(need <= STEEP)
-        exact = np.abs(x).max(initial=0) * float(np.abs(y).max(initial=0)) * max(d, 1) < _EXACT
-        for q in steep:
-            c = min(1.0, need[q])
-            unit = x[q] / self.norm[q]
-            keep = norm * self.norm[q] >= self.floor[q] * (1 - slack)
-            for f in np.argsort(-np.abs(unit))[:FOCUS]:
-                a, b = np.arccos(np.clip(unit[f], -1, 1)), np.arccos(c)
-                low, high = np.cos(min(np.pi, a + b)), np.cos(max(0.0, a - b))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    at = np.where(norm > 0, y[:, f] / norm, 0.0)
-                keep &= (at >= low - slack) & (at <= high + slack)
-            found = np.flatnonzero(keep)
-            self._take(q, ids[found], y[found] @ x[q])
-        if len(plain):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                least = np.where(self.norm[plain] > 0, self.floor[plain] / self.norm[plain], -np.inf).min()
-            far = int(np.count_nonzero(norm >= least * (1 - slack))) if least > 0 else len(norm)
-            order = np.argsort(-norm, kind="stable")[:far]
-            scores = (x[plain].astype(np.float64) @ y[order].T.astype(np.float64)).astype(np.int64) if exact else x[plain] @ y[order].T
-            enough = scores >= self.floor[plain][:, None]
-            for i, q in enumerate(plain):
-                found = np.flatnonzero(enough[i])
-                self._take(q, ids[order[found]], scores[i, found])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            need = np.where(self.norm * longest > 0, self.floor / (self.norm * longest), np.where(self.floor > 0, np.inf, -np.inf))
+        at = np.flatnonzero(need <= 1 + slack)
+        if not len(at) or not len(ids):
+            return 0, 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(self.norm[at] > 0, self.floor[at] / self.norm[at], -np.inf).min()
+        kept = np.flatnonzero(norm >= least * (1 - slack)) if least > 0 else np.arange(len(norm))
+        bound = float(np.abs(x[at]).max(initial=0)) * float(np.abs(y[kept]).max(initial=0)) * max(d, 1)
+        if bound >= _EXACT:
+            # floating point would not hold the sums; Python's integers hold any
+            whole = (x[at] @ y[kept].T) if bound < 2.0**62 else x[at].astype(object) @ y[kept].T.astype(object)
+            for i, q in enumerate(at):
+                self._take(q, ids[kept], whole[i])
+            return len(at) * len(kept), len(at) * len(kept)
+        some, other = x[at].astype(np.float64), real[kept]
+        order = np.argsort(-(some**2).sum(0), kind="stable")
+        focus = self._focus(some[:, order], other[:, order], self.norm[at], float(need[at].min()))
+        first, rest = order[:focus], order[focus:]
+        scores = some[:, first] @ other[:, first].T
+        floor = self.floor[at]
+        if not len(rest):
+            enough = scores >= floor[:, None]
+        else:
+            left = np.sqrt((some[:, rest] ** 2).sum(1)) * (1 + slack)
+            enough = scores + left[:, None] * np.sqrt((other[:, rest] ** 2).sum(1))[None, :] >= floor[:, None] - slack * np.abs(floor)[:, None]
+        i, j = np.nonzero(enough)
+        if len(rest):
+            u, v = some[:, rest], other[:, rest]
+            step = max(1, _AT_ONCE // len(rest))
+            for k in range(0, len(i), step):
+                a, b = i[k : k + step], j[k : k + step]
+                scores[a, b] += np.einsum("ij,ij->i", u[a], v[b])
+        edge = np.searchsorted(i, np.arange(len(at) + 1))
+        for n, q in enumerate(at):
+            found = j[edge[n] : edge[n + 1]]
+            if len(found):
+                self._take(q, ids[kept[found]], scores[n, found].astype(np.int64))
+        return len(at) * len(kept), len(i) if len(rest) else len(at) * len(kept)
+
+    def _focus(self, x: np.ndarray, y: np.ndarray, norm: np.ndarray, need: float) -> int:
+        """How many leading coordinates decide most pairs; all of them where the local threshold is too low for that."""
+        d = x.shape[1]
+        if not np.isfinite(need) or need <= 0:
+            return d
+        of_x = 1 - np.cumsum((x**2).sum(0)) / max((norm**2).sum(), 1.0)
+        total = (y**2).sum()
+        of_y = 1 - np.cumsum((y**2).sum(0)) / total if total > 0 else np.zeros(d)
+        enough = np.flatnonzero(np.sqrt(np.maximum(of_x, 0) * np.maximum(of_y, 0)) <= SPARE * need)
+        focus = int(enough[0]) + 1 if len(enough) else d
+        return focus if 8 * focus <= 7 * d else d
 
     def _take(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        other = ids != self.ids[q]
-        ids, scores = ids[other], scores[other]
+        good = ids != self.ids[q]
+        if len(self.top[q]) == self.k:
+            good &= (scores >= self.top[q][-1][0] * -1).astype(bool)
+        ids, scores = ids[good], scores[good]
         if not len(ids):
             return
-        if len(ids) > self.k:
-            best = np.lexsort((ids, -scores))[: self.k]
-            ids, scores = ids[best], scores[best]
         top = sorted([*self.top[q], *zip((-scores).tolist(), ids.tolist(), strict=True)])[: self.k]
         self.top[q] = top
         if len(top) == self.k:
-            self.floor[q] = -top[-1][0]
+            worst = -top[-1][0]
+            self.floor[q] = max(self.floor[q], float(worst) if abs(worst) < _EXACT else np.nextafter(float(worst), -np.inf))
 
 
 def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: float = 256.0) -> DataFrame:
@@ -162,17 +194,15 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     buckets = stored(_grouped(taken(vectors), BUCKET, parts))
     blocks = stored(_grouped(taken(queries), BLOCK, max(1, parts // 4)))
     first = buckets.orderBy(F.col("longest").desc(), "part", "place").limit(1).collect()
-    seed = spark.sparkContext.broadcast(first[0].asDict() if first else None)
-    groups = parts
-
-    def started(row: dict) -> Best:
-        return Best(*_matrix(row), k)
+    if not first:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    seed = spark.sparkContext.broadcast(first[0].asDict())
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                best = started(row)
+                best = Best(*_matrix(row), k)
                 best.meet(*_matrix(seed.value))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     needed = np.where(best.norm > 0, best.floor / best.norm, -np.inf)
@@ -180,39 +210,44 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
             a, b = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(a, pa.binary()), pa.array(b, pa.float64())], [*batch.schema.names, "floor", "needed"])
 
-    if not first:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # groups are numbered part by part: as many numbers here as there are partitions
+    sizes = {r.part: r.n for r in buckets.groupBy("part").agg(F.max(F.floor(F.col("place") / NEAR) + 1).alias("n")).collect()}
+    first_of, groups = {}, 0
+    for part in sorted(sizes):
+        first_of[part], groups = groups, groups + sizes[part]
+    start = F.element_at(F.create_map(*(F.lit(int(x)) for pair in first_of.items() for x in pair)), F.col("part"))
+    bucket = buckets.withColumn("group", (start + F.floor(F.col("place") / NEAR)).cast("int"))
+    heads = bucket.groupBy("group").agg(F.max("longest").alias("group_longest"))
     block = stored(blocks.mapInArrow(floors, ROW + ", floor binary, needed double"))
-    block = block.select(*(F.col(c).alias("q_" + c) for c in block.columns)).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    bucket = buckets.withColumn("group", F.pmod(F.hash("part", "place"), F.lit(groups)))
-    pairs = block.join(bucket, "group").where(F.col("longest") * (1 + 1e-9) >= F.col("q_needed")).drop("group")
+    sent = block.select("part", "place", "needed", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")).join(heads, "group").where(F.col("group_longest") * (1 + 1e-9) >= F.col("needed")).select("part", "place", "group")
+    names = ["group", "kind", *buckets.columns, "floor"]
+    asked = block.join(sent, ["part", "place"]).withColumn("kind", F.lit(1)).select(names)
+    held = bucket.withColumns({"kind": F.lit(0), "floor": F.lit(None).cast("binary")}).select(names)
+    met = held.union(asked).repartition("group").sortWithinPartitions("group", "kind", "part", "place")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one block's results are held at a time and given out when another block comes
-        best, at = None, None
-
-        def out() -> pa.RecordBatch:
-            rows = [(int(best.ids[q]), i, -s) for q, top in enumerate(best.top) for s, i in top]
-            q, i, s = zip(*rows, strict=True) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (q, i, s)], ["query_id", "vec_id", "score"])
-
+        # a group's buckets are held, at most NEAR of them; a block's results are given out when it has met them all
+        at, of_group = None, []
         for batch in batches:
             for n in range(batch.num_rows):
                 row = {c: batch.column(c)[n].as_py() for c in batch.schema.names}
-                here = (row["q_part"], row["q_place"])
-                if here != at:
-                    if best is not None:
-                        yield out()
-                    best, at = Best(*_matrix(row, "q_"), k), here
-                    best.floor = np.frombuffer(row["q_floor"], "<f8").copy()
-                best.meet(*_matrix(row))
-        if best is not None:
-            yield out()
-
-    # a row here is a block and a bucket, up to some hundred KB: few of them go to Python at once
-    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "64"):
-        found = stored(pairs.mapInArrow(meet, "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+                if row["group"] != at:
+                    at, of_group = row["group"], []
+                if not row["kind"]:
+                    of_group.append(_matrix(row))
+                    continue
+                best = Best(*_matrix(row), k)
+                best.floor = np.frombuffer(row["floor"], "<f8").copy()
+                for ids, y in of_group:
+                    best.meet(ids, y)
+                found = [(row["part"], row["place"], m, int(best.ids[m]), i, max(-(2**63), min(2**63 - 1, -s)), r) for m, top in enumerate(best.top) for r, (s, i) in enumerate(top)]
+                columns = zip(*found, strict=True) if found else ((),) * 7
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["part", "place", "row", "query_id", "vec_id", "score", "r"])
+
+    # a row here is a block or a bucket, up to some hundred KB: few of them go to Python at once
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "16"):
+        found = stored(met.mapInArrow(meet, "part long, place long, row long, query_id long, vec_id long, score long, r long"))
+    order = Window.partitionBy("part", "place", "row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -224,16 +259,16 @@ def op3_topk(spark, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 WITH taken AS (
-  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.row, q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
   FROM taken q JOIN taken c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """

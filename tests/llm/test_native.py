@@ -110,13 +110,58 @@ def test_topk(spark, kind):
         x *= 1e4
     rows = [(k, v.tolist()) for k, v in enumerate(x)]
     rows += [(n, None), (n + 1, [1.0, None]), (n + 2, [float("nan")] * 6), (n + 3, [float("inf")] + [0.0] * 5), (None, [9.0] * 6), (n + 4, [0.0] * 6), (n + 5, [3.0, 1.0]), (n + 6, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumnRenamed("x", "y")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' as score", "1 as rank", "vec_id as id", "2 as part")
     step = 2 if kind == "few" else 100
     asked = [(k, v) for k, v in rows if k is not None and k % step == 0]
     got = {tuple(r) for r in topk.search(df, df.where(f"vec_id % {step} = 0"), k=5).collect()}
     assert got == brute([k for k, _ in rows], [v for _, v in rows], asked, 5)
 
 
+def test_topk_of_repeated_queries(spark):
+    """Each row of the queries has ranks of its own; rows with its id are left out, repeated candidates count one by one."""
+    x = np.random.default_rng(1).normal(size=(60, 4))
+    rows = [(k // 2 if k < 20 else k, v.tolist()) for k, v in enumerate(x)] + [(59, x[59].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(df, df.where("vec_id < 5 or vec_id = 59")).collect())
+    want = []
+    for q, v in rows:
+        if q < 5 or q == 59:
+            scored = sorted((-sum(int(np.floor(256 * a)) * int(np.floor(256 * b)) for a, b in zip(v, w, strict=True)), k) for k, w in rows if k != q)
+            want += [(q, rank, k, -s) for rank, (s, k) in enumerate(scored[:5], 1)]
+    assert got == sorted(want)
+
+
+def test_topk_of_large_components(spark):
+    """Sums are exact beyond floating point and beyond 64 bits; scores end at the range's ends."""
+    rows = [(0, [2.0**40, 1.0]), (1, [2.0**40, 3.0]), (2, [2.0**40, 2.0]), (3, [-(2.0**40), 0.0]), (4, [1e300, 0.0]), (5, [1e-3, 0.0]), (6, [2.0**22, 1.0]), (7, [2.0**22, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    end = 2**63 - 1
+
+    def whole(v):
+        return [max(-(2**63), min(end, int(np.floor(256 * c)))) for c in v]
+
+    got = {tuple(r) for r in topk.search(df, df.where("vec_id in (0, 6)"), k=7).collect()}
+    want = set()
+    for q in (0, 6):
+        scored = sorted((-sum(a * b for a, b in zip(whole(rows[q][1]), whole(v), strict=True)), k) for k, v in rows if k != q)
+        want |= {(q, rank, k, max(-end - 1, min(end, -s))) for rank, (s, k) in enumerate(scored, 1)}
+    assert {(q, k, s) for q, _, k, s in got} == {(q, k, s) for q, _, k, s in want}
+
+
+def test_topk_verifies_few_products():
+    """Of unit vectors in no special direction, coordinate pruning leaves a small part to be verified in full."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4096, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int64)
+    best = topk.Best(np.arange(40), x[:40], 5)
+    met = [best.meet(np.arange(k, k + 1024), x[k : k + 1024]) for k in range(0, 4096, 1024)]
+    left, verified = (sum(m[i] for m in met[1:]) for i in (0, 1))
+    assert left == 40 * 3072 and verified < 0.3 * left
+    for q in range(40):
+        scores = x @ x[q]
+        assert [(s, k) for s, k in best.top[q]] == sorted((-int(scores[k]), k) for k in range(4096) if k != q)[:5]
+
+
 def test_topk_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(df, df).count() == 0
