@@ -1,15 +1,16 @@
 """Harmonic packing of token sequences.
 
-Class k holds pieces longer than capacity / 2k and at most capacity / k; the classes are k = 1, 2, 4, ... up to
-the capacity itself, so the capacity must be a power of two.  A document is cut so that each piece fills its
-class exactly: whole sequences first (k = 1), then the rest by the binary digits of its length, largest
-first.  A bin of class k takes k pieces and is then full to the last token.
+Whole sequences are cut from the beginning of a document that is longer than the capacity; what is left is put
+into the class of its length: class k < ``CLASSES`` takes lengths in (capacity / (k + 1), capacity / k], the last
+class all shorter ones.  A bin of class k takes k of them uncut, so it is more than k / (k + 1) full; the next
+piece of that class gives its beginning to what is still free, which closes the bin without padding, and the rest of that piece
+goes on in the class of its own length.  So a bin costs one cut, whatever it holds.  (A bin of the last class
+takes pieces as long as they fit.)
 
 Each worker fills the bins of every class on its own, from its own documents only: no shuffle, no order
-between workers.  What lies in its open bins at the end is joined like a binary carry: pairs of pieces
-of one class make a piece of the class above, so that at most one bundle of each power of two is left, and a
-bundle at a power of two needs no padding.  No sequence is padded at all; a worker leaves at most one short
-sequence for each class.
+between workers.  It holds at most one open bin for each class.  What lies in those at the end is laid end to end
+and cut into whole sequences, and the last, shorter one by the binary digits of its length: sequences at a power
+of two need no padding.  No sequence is padded at all; a worker leaves at most one short sequence for each digit.
 
 Defined results: null and empty texts are one piece, the end id alone; documents with equal ids are packed one
 by one; other columns are ignored.  Sequence ids are the partition's number times 2**40 plus a count, so a
@@ -33,57 +34,68 @@ NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 SCHEMA = ", ".join(f"{n} long" for n in NAMES)
 #: Rows of one Arrow batch that goes back to Spark.
 ROWS = 20_000
-
-
-def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
-    """Start and length of a document's pieces: whole sequences, then the rest's binary digits."""
-    whole = length // capacity
-    out = [(k * capacity, capacity) for k in range(whole)]
-    at, rest = whole * capacity, length % capacity
-    size = capacity >> 1
-    while rest:
-        if rest >= size:
-            out.append((at, size))
-            at, rest = at + size, rest - size
-        size >>= 1
-    return out
+#: The last class takes all that is shorter than the others' lengths.
+CLASSES = 64
 
 
 class Bins:
-    """The open bins of one worker.  A bundle is a list of pieces whose lengths sum to a power of two."""
+    """The open bins of one worker.  A piece is its document's id, tokens before it, ids as bytes, the document's tokens."""
 
     def __init__(self, capacity: int, first: int) -> None:
         self.capacity, self.next, self.done = capacity, first, []
-        self.open: dict[int, list[tuple]] = {}
-
-    def add(self, size: int, piece: tuple) -> None:
-        if size == self.capacity:
-            self._close([piece])
-            return
-        held = self.open.setdefault(size, [])
-        held.append(piece)
-        if len(held) * size == self.capacity:
-            self._close(held)
-            self.open[size] = []
+        self.open: dict[int, tuple[list[tuple], int]] = {}
+
+    def add(self, key: int | None, ids: bytes) -> None:
+        """Pack a document."""
+        n, capacity = len(ids) // 4, self.capacity
+        whole = n - n % capacity
+        for at in range(0, whole, capacity):
+            self._close([(key, at, ids[4 * at : 4 * (at + capacity)], n)])
+        if n > whole:
+            self._place((key, whole, ids[4 * whole :] if whole else ids, n))
+
+    def _place(self, piece: tuple) -> None:
+        while True:
+            key, at, ids, n = piece
+            length = len(ids) // 4
+            k = min(self.capacity // length, CLASSES)
+            held, room = self.open.get(k, ([], self.capacity))
+            # a bin short of its class's count has room for one more; one with them all has less than any piece of the class
+            taken = min(length, room)
+            held.append(piece if taken == length else (key, at, ids[: 4 * taken], n))
+            if taken == room:
+                self._close(held)
+                self.open.pop(k, None)
+            else:
+                self.open[k] = held, room - taken
+            if taken == length:
+                return
+            piece = key, at + taken, ids[4 * taken :], n
 
     def _close(self, pieces: list[tuple]) -> None:
-        at = 0
-        for p in pieces:
-            self.done.append((*p, self.next, at))
-            at += p[2]
+        offset = 0
+        for key, at, ids, n in pieces:
+            length = len(ids) // 4
+            self.done.append((key, at, length, zlib.crc32(ids), n, self.next, offset))
+            offset += length
         self.next += 1
 
     def finish(self) -> None:
-        carry: list[list[tuple]] = []
-        size = 1
-        while size < self.capacity:
-            bundles = carry + [[p] for p in self.open.get(size, ())]
-            carry = [a + b for a, b in zip(bundles[::2], bundles[1::2], strict=False)]
-            if len(bundles) % 2:
-                self._close(bundles[-1])
-            size *= 2
-        for bundle in carry:
-            self._close(bundle)
+        """Lay the open bins end to end and cut them anew."""
+        left = [p for k in sorted(self.open) for p in self.open[k][0]]
+        total = sum(len(p[2]) // 4 for p in left)
+        sizes = [self.capacity] * (total // self.capacity) + [1 << b for b in reversed(range(self.capacity.bit_length() - 1)) if total % self.capacity >> b & 1]
+        left.reverse()
+        for size in sizes:
+            held = []
+            while size:
+                key, at, ids, n = left.pop()
+                if len(ids) > 4 * size:
+                    left.append((key, at + size, ids[4 * size :], n))
+                    ids = ids[: 4 * size]
+                held.append((key, at, ids, n))
+                size -= len(ids) // 4
+            self._close(held)
         self.open = {}
 
 
@@ -98,15 +110,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
         encode: Callable[[bytes], bytes] = bpe.coder(shared.value, True).encode
         bins = Bins(capacity, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            known: dict[int, list[tuple[int, int]]] = {}
             for k, t in bpe.texts_of(batch):
-                ids = encode(t) + last
-                n = len(ids) // 4
-                view = memoryview(ids)
-                if n not in known:
-                    known[n] = cuts(n, capacity)
-                for at, size in known[n]:
-                    bins.add(size, (k, at, size, zlib.crc32(view[4 * at : 4 * (at + size)]), n))
+                bins.add(k, encode(t) + last)
                 if len(bins.done) >= ROWS:
                     yield _rows(bins)
         bins.finish()

@@ -1,6 +1,7 @@
 import hashlib
 import struct
 import zlib
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -120,8 +121,39 @@ def test_packing_odd_rows(spark):
         packing.pack(df, capacity=100)
 
 
-@given(st.integers(1, 10_000))
-def test_cuts(n):
-    pieces = packing.cuts(n, 2048)
-    assert [a for a, _ in pieces] == [sum(s for _, s in pieces[:k]) for k in range(len(pieces))]
-    assert sum(s for _, s in pieces) == n and all(s & (s - 1) == 0 for _, s in pieces)
+@given(st.lists(st.integers(1, 500), max_size=80), st.sampled_from([1, 2, 64, 128]))
+def test_bins(lengths, capacity):
+    bins = packing.Bins(capacity, 0)
+    tokens = {}
+    for k, n in enumerate(lengths):
+        tokens[k] = [k * 1000 + j for j in range(n)]
+        bins.add(k, struct.pack(f"<{n}I", *tokens[k]))
+        assert sum(len(held) for held, _ in bins.open.values()) <= sum(range(packing.CLASSES)) + capacity
+    bins.finish()
+    rows = [SimpleNamespace(**dict(zip(packing.NAMES, r, strict=True))) for r in bins.done]
+    check_packing(rows, tokens, capacity)
+    # one cut for each bin; the last, short sequences are one for each binary digit
+    assert len(rows) <= len(lengths) + len({r.sequence_id for r in rows})
+
+
+def test_a_bin_takes_its_classes_count():
+    bins = packing.Bins(1000, 0)
+    for k in range(4):
+        bins.add(k, bytes(4 * 300))  # class 3: three whole, and the fourth one's beginning
+    found = [r for r in bins.done]
+    assert [(r[0], r[2]) for r in found] == [(0, 300), (1, 300), (2, 300), (3, 100)] and {r[5] for r in found} == {0}
+    assert {k: [len(p[2]) // 4 for p in held] for k, (held, _) in bins.open.items()} == {5: [200]}
+
+
+def test_packing_few_cuts_and_repeated_rows(spark):
+    import random
+
+    random.seed(4)
+    df = spark.createDataFrame([(k // 2, "the of and " * random.randint(1, 400)) for k in range(3000)], "doc_id long, text string").coalesce(1)
+    rows = packing.pack(df).collect()
+    whole = sum(r.length == 2048 for r in rows)
+    assert len(rows) - whole <= 1.8 * 3000 and sum(r.length for r in rows) == sum(len(t.split()) + 1 for _, t in df.collect())
+    sizes = {}
+    for r in rows:
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    assert sum(n < 2048 for n in sizes.values()) <= 11
