@@ -8,11 +8,17 @@ logarithm of its sample's length and divided by the text's length, wins.
 Letters are folded to lower case and all runs of other signs are one space; that holds for samples and texts.
 Whole texts are parsed.  They are laid out as lanes of at most ``LANE`` signs, and all lanes of a slice and
 all languages step through one table of transitions at once, so a text of any length costs memory by its
-slice alone; a phrase ends where its lane ends.
+slice alone.  Lanes don't show in the result: each is first parsed as if a phrase began with it, then its beginning again from the
+state that the lane before really ends in, until both parses agree; where they don't agree before its end, so
+is the next lane.
 
-Only the sample is bounded (``docs_per_lang`` documents, those with the smallest hash of their id, and
-``chars_per_lang`` signs a language, of which each document gives an equal share): the classifier needs no more, and the table that goes to the workers stays within
-``languages x 2 x chars_per_lang`` rows whatever the input's size.
+The table holds each state's arcs in a short row that its letters index by their lower bits, so it grows with the
+samples' arcs and not with the number of letters that the languages have.
+
+Only the sample is bounded: ``langs`` languages (those with the most labelled documents, ties to the first name), ``docs_per_lang``
+rows each (those with the smallest hash of their id; of rows that share an id and a language the last text in order is read) and ``chars_per_lang`` signs each, of which each
+document gives an equal share; all languages together have at most ``chars`` signs.  The classifier needs no more,
+and the table that goes to the workers, of at most 2 x ``chars`` states and 3 x ``chars`` arcs, does not grow with the input.
 
 Defined results: null text or text without a letter is ``und`` with score 0; so is every text if nothing was
 labelled.  Equal prices go to the first name in order.  Rows with equal ids are judged one by one.
@@ -66,8 +72,8 @@ def _signs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return folded[keep], total[at], letters[at[1:]] > letters[at[:-1]]
 
 
-def suffix_automaton(text: np.ndarray, kinds: int) -> np.ndarray:
-    """Transitions of the automaton that knows every substring of ``text`` (signs below ``kinds``): 0 is none, row 1 the start."""
+def suffix_automaton(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Arcs (state, sign, next state) of the automaton that knows every substring of ``text``, and how many states there are; 0 is none, 1 the start."""
     going: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], 1
     for c in text.tolist():
@@ -93,20 +99,51 @@ def suffix_automaton(text: np.ndarray, kinds: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    out = np.zeros((len(going), kinds), np.int32)
-    for s, arcs in enumerate(going):
-        for c, t in arcs.items():
-            out[s, c] = t
-    return out
+    state = np.repeat(np.arange(len(going)), [len(arcs) for arcs in going])
+    sign = np.fromiter((c for arcs in going for c in arcs), np.int64, len(state))
+    return state, sign, np.fromiter((t for arcs in going for t in arcs.values()), np.int64, len(state)), len(going)
+
+
+@dataclass
+class Arcs:
+    """Each state's arcs in a row of its own: as many places as the least power of two by which its signs differ.
+
+    ``row``: where a state's row begins, and its length less one in the lower half; ``arc``: sign and next state.
+    """
+
+    row: np.ndarray
+    arc: np.ndarray
+
+    @staticmethod
+    def of(state: np.ndarray, sign: np.ndarray, to: np.ndarray, states: int) -> Arcs:
+        length = np.ones(states, np.int64)
+        left = np.arange(len(state))
+        while len(left):
+            place = state[left] << 32 | sign[left] & (length[state[left]] - 1)
+            found, times = np.unique(place, return_counts=True)
+            clash = np.zeros(states, bool)
+            clash[found[times > 1] >> 32] = True
+            length[clash] *= 2
+            left = left[clash[state[left]]]
+        first = np.cumsum(length) - length
+        arc = np.full(int(length.sum()), -1 << 32, np.int64)
+        arc[first[state] + (sign & (length[state] - 1))] = sign << 32 | to
+        return Arcs(first << 32 | (length - 1), arc)
+
+    def find(self, state: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """The next states; 0 where there is none."""
+        row = self.row[state]
+        arc = self.arc[(row >> 32) + (sign & row)]
+        return np.where(arc >> 32 == sign, arc & 0xFFFFFFFF, 0)
 
 
 @dataclass
 class Model:
-    """One table for all languages; row 0 has no transition, each language's start row comes with ``starts``."""
+    """One table of arcs for all languages; state 0 has none.  ``restart``: where each language goes from its start."""
 
     langs: list[str]
     kind: np.ndarray
-    table: np.ndarray
+    arcs: Arcs
     restart: np.ndarray
     price: np.ndarray
 
@@ -122,39 +159,68 @@ class Model:
         kinds = len(known) + 1  # the last is for signs that no sample has
         kind = np.full(sys.maxunicode + 1, kinds - 1, np.int32)
         kind[known] = np.arange(len(known))
-        tables, restart, base = [np.zeros((1, kinds), np.int32)], [], 1
-        for text in signs:
-            t = suffix_automaton(kind[text], kinds)[1:]
-            t = np.where(t > 0, t - 1 + base, 0).astype(np.int32)
-            restart.append(np.where(t[0] > 0, t[0], 0))
-            tables.append(t)
-            base += len(t)
-        return Model(langs, kind, np.concatenate(tables) * kinds, (np.array(restart, np.int32).reshape(len(langs), kinds) * kinds), np.log2(np.maximum([len(t) for t in signs], 2)) if signs else np.zeros(0))
+        restart, arcs, base = np.zeros((len(langs), kinds), np.int64), [np.zeros((3, 0), np.int64)], 1
+        for j, text in enumerate(signs):
+            state, sign, following, states = suffix_automaton(kind[text])
+            # state s of this automaton is base + s - 1; its start's arcs are in ``restart``
+            begins = state == 1
+            restart[j, sign[begins]] = following[begins] - 1 + base
+            arcs.append(np.stack((state[~begins] - 1 + base, sign[~begins], following[~begins] - 1 + base)))
+            base += states - 1
+        return Model(langs, kind, Arcs.of(*np.concatenate(arcs, 1), base), restart, np.log2(np.maximum([len(t) for t in signs], 2)) if signs else np.zeros(0))
+
+    def _step(self, state: np.ndarray, lang: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and whether a phrase ended before this letter.  State 0: a phrase begins."""
+        new = self.arcs.find(state, code)
+        ends = new == 0
+        at = np.flatnonzero(ends)
+        new[at] = self.restart[lang[at], code[at]]
+        return new, ends
 
     def phrases(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Phrases of each text's parse by each language, texts x languages."""
         n, many = len(at) - 1, len(self.langs)
-        codes = self.kind[signs]
-        lanes = np.maximum(-(-np.diff(at) // LANE), 0)
+        codes = self.kind[signs].astype(np.int64)
+        lanes = -(-np.diff(at) // LANE)
         text = np.repeat(np.arange(n), lanes)
-        step = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        start = at[text] + step * LANE
+        number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        start = at[text] + number * LANE
         length = np.minimum(at[text + 1] - start, LANE)
         order = np.argsort(-length, kind="stable")
-        start, length, text = start[order], length[order], text[order]
-        active = np.searchsorted(-length, -np.arange(LANE), "left")  # lanes longer than k
-        state, count = np.zeros((many, len(text)), np.int32), np.zeros((many, len(text)), np.int32)
-        table = self.table.ravel()
-        for k in range(int(length[0]) if len(length) else 0):
+        active = np.searchsorted(-length[order], -np.arange(LANE), "left")  # lanes longer than k
+        state, count = np.zeros((len(text), many), np.int64), np.zeros((len(text), many), np.int64)
+        lang = np.tile(np.arange(many), len(text))
+        s, c = np.zeros((len(text), many), np.int64), np.zeros((len(text), many), np.int32)
+        for k in range(int(length.max(initial=0))):
             m = active[k]
-            c = codes[start[:m] + k]
-            new = table[state[:, :m] + c]
-            ends = new == 0
-            count[:, :m] += ends
-            state[:, :m] = np.where(ends, self.restart[:, c], new)
+            new, ends = self._step(s[:m].ravel(), lang[: m * many], np.repeat(codes[start[order[:m]] + k], many))
+            s[:m] = new.reshape(m, many)
+            c[:m] += ends.reshape(m, many)
+        state[order], count[order] = s, c
+
+        # ``began``: the state each lane's parse was last begun in; one that its lane before doesn't end in is begun anew
+        began = np.zeros_like(state)
+        follows = np.flatnonzero(number > 0)
+        while True:
+            lane, j = np.nonzero(state[follows - 1] != began[follows])
+            if not len(lane):
+                break
+            lane = follows[lane]
+            old, new = began[lane, j].copy(), state[lane - 1, j].copy()
+            began[lane, j] = new
+            k = 0
+            while len(lane):
+                code = codes[start[lane] + k]
+                old, ends_old = self._step(old, j, code)
+                new, ends_new = self._step(new, j, code)
+                count[lane, j] += ends_new.astype(np.int64) - ends_old
+                k += 1
+                last = length[lane] == k
+                state[lane[last], j[last]] = new[last]
+                on = (old != new) & ~last
+                lane, j, old, new = lane[on], j[on], old[on], new[on]
         out = np.zeros((n, many))
-        for j in range(many):
-            out[:, j] = np.bincount(text, count[j], n)
+        np.add.at(out, text, count)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -170,21 +236,28 @@ class Model:
         return [self.langs[b] if ok else UND for b, ok in zip(best, lettered, strict=True)], score
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 60, chars_per_lang: int = 30_000) -> Model:
+def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", langs: int = 200, docs_per_lang: int = 60, chars_per_lang: int = 30_000, chars: int = 1_200_000) -> Model:
     """Learn from the rows of ``labelled`` with text and language.
 
-    The ids with the smallest hashes are found language by language before any text moves; then the texts of
-    those at most ``docs_per_lang`` x languages ids are fetched.
+    Languages are counted first; the ids with the smallest hashes are found language by language before any text
+    moves; then the texts of those at most ``langs`` x ``docs_per_lang`` ids are fetched, one of each id and language.
     """
     rows = labelled.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null and id is not null")
+    some = rows.where(F.length("text") >= 1)
+    names = [r.lang for r in some.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(langs).collect()]
+    if not names:
+        return Model.of({}, 0)
+    most = max(1, min(chars_per_lang, chars // len(names)))
+    # the window's group limit keeps what a task sends small
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.where(F.length("text") >= 1).select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang)
-    ids = sorted({r.id for r in chosen.select("id").collect()})
+    chosen = some.where(F.col("lang").isin(names)).select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang)
+    wanted = {(r.id, r.lang) for r in chosen.select("id", "lang").collect()}
+    fetched = some.where(F.col("id").isin(sorted({i for i, _ in wanted})) & F.col("lang").isin(names)).groupBy("id", "lang").agg(F.max(F.substring("text", 1, most)).alias("text"))
     samples: dict[str, list[tuple[int, str]]] = {}
-    if ids:
-        for r in rows.where(F.col("id").isin(ids)).select("id", "lang", F.substring("text", 1, chars_per_lang).alias("text")).collect():
+    for r in fetched.collect():
+        if (r.id, r.lang) in wanted:
             samples.setdefault(r.lang, []).append((r.id, r.text))
-    return Model.of({k: shares([t for _, t in sorted(v)], chars_per_lang) for k, v in samples.items()}, chars_per_lang)
+    return Model.of({k: shares([t for _, t in sorted(v)], most) for k, v in samples.items()}, most)
 
 
 def shares(texts: list[str], most: int) -> list[str]:

@@ -9,20 +9,28 @@ A document is the set of its distinct ``n``-word shingles (64-bit hashes of the
 * Banding.  ``bands`` bands of ``rows`` coordinates are the bucket keys.  A pair at the threshold 0.75 misses all 32
   bands of 4 coordinates with chance (1 - 0.75**4)**32 = 5e-6, a pair at 0.8 with chance 5e-8.
 * Verification.  Documents with equal sets are one class from the start and go on as one representative.  In each
-  bucket every member is compared with the bucket's first member on full sets; components are taken; in the
-  buckets that still hold two components every member outside the first member's component meets all members of
-  other components: 2,048 parity bits of each set bound the size of the symmetric difference from below, and
+  bucket every member is compared with the bucket's first member on full sets, and components are taken.  Members of
+  buckets that still hold two components are unsettled; their pairs come from prefix filtering, not from the
+  buckets: of two sets that are alike enough, the parts that hold their n - ceil(0.75 n) + 1 rarest shingles, in one order for
+  all sets, have one in common.  So only documents that share one of their rarest shingles meet, and a family of
+  documents that share much, but less than the threshold, meets nowhere however large it is.  Pairs are made
+  distinct, then 2,048 parity bits of each set bound the size of the symmetric difference from below, and
   the pairs that this exact bound leaves are compared on full sets.  No pair of a bucket stays undecided unless
   its ends are connected already, and a bucket of near copies costs as many full comparisons as it has
   members, not their square.
 * Components by alternating large-star and small-star steps, each an aggregate and a join, cut by a checkpoint.
 
-Everything that is shuffled is a key, an id, or the set of a document that shares a bucket with another.
-Nothing is collected but counts.
+Shingles are ordered by ``COUNTERS`` hashed counters of the unsettled documents' shingles (a table of fixed size, which
+is broadcast) and by their hash; any order gives the same links, a good one just lets fewer documents meet.
+Everything else that is shuffled is a key, a class, or the set of a document that shares a bucket with another.
+Nothing of the documents is collected.
 
-Defined results: null, empty or wordless texts have an empty set and are their own class; texts with fewer
-than ``n`` words are one shingle; rows with equal ids are one document; rows without an id are left out; an
-empty table gives an empty result; other columns are ignored.
+Vertices are 64-bit hashes of sets, not ids, so rows without an id take part, and rows with equal ids and other
+texts are documents of their own that connect nothing.
+
+Defined results: null, empty or wordless texts have an empty set and are linked with nothing; texts with fewer
+than ``n`` words are one shingle; every row has a result of its own; a row without an id has the smallest id of its
+component, and is kept only where none of it has an id; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +39,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import _words
 from ._spark import bytes_of, cut, slices, stored, two_columns
@@ -40,6 +49,8 @@ from ._spark import bytes_of, cut, slices, stored, two_columns
 WORDS = 5
 ROWS, BANDS = 4, 32
 PARITIES = 2048
+#: Hashed counts of shingles that order them; 4 MB.
+COUNTERS = 1 << 20
 _SEEDS = np.random.default_rng(19).integers(0, 2**64, 2 * ROWS * BANDS, dtype=np.uint64)
 
 
@@ -91,8 +102,13 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
 
 
+def _print(sets: list[np.ndarray], seed: int) -> np.ndarray:
+    """A 64-bit hash of each set."""
+    return np.array([_words.mix(s ^ _SEEDS[seed]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
-    """id, set size, a 128-bit fingerprint of the set, band keys."""
+    """id, a hash of the text, set size, a 128-bit fingerprint of the set (its first half names the class), band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,13 +117,14 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 keys = [band_keys(sketch(s)) if len(s) else s for s in sets]
                 at = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys).view(np.int64)))
-                prints = [np.array([_words.mix(s ^ seed).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for seed in _SEEDS[:2]]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, prints), lists], ["id", "n", "f1", "f2", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("of_text"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(_print(sets, k)) for k in (0, 1)), lists], ["id", "of_text", "n", "v", "f", "keys"])
 
-    return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, keys array<long>")
+    return docs.mapInArrow(run, "id long, of_text long, n long, v long, f long, keys array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
+    """``v``, the set and its parity bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -115,9 +132,45 @@ def _sets(docs: DataFrame) -> DataFrame:
                 at = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 bits = np.concatenate([parities(s) for s in sets])
                 lists = [pa.ListArray.from_arrays(pa.array(x), pa.array(v)) for x, v in ((at, np.concatenate(sets).view(np.int64)), (np.arange(0, len(bits) + 1, PARITIES // 64, dtype=np.int32), bits))]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *lists], ["id", "shingles", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(_print(sets, 0)), *lists], ["v", "shingles", "bits"])
+
+    return docs.select("text").mapInArrow(run, "v long, shingles array<long>, bits array<long>")
+
+
+def prefix(shingles: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
+    """The rarest shingles of a set by ``count`` (hashed counters), as many as one that is alike enough must share one of."""
+    n = len(shingles)
+    some = n - -(-least * n // 100) + 1
+    return shingles[np.lexsort((shingles, count[(shingles & np.uint64(len(count) - 1)).astype(np.int64)]))[:some]]
+
+
+def _prefixes(unsettled: DataFrame, least: int) -> DataFrame:
+    """``v``, ``n``, ``component``, ``main`` and ``shingle``, a row for each shingle of a set's prefix."""
+    spark = unsettled.sparkSession
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            flat = batch.column("shingles").flatten().to_numpy().astype(np.int64)
+            total += np.bincount(flat & (COUNTERS - 1), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    found = unsettled.select("shingles").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(COUNTERS, np.int32)
+    count[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), 2**31 - 1)
+    shared = spark.sparkContext.broadcast(count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            flat, at = lists.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+            rarest = [prefix(flat[at[k] : at[k + 1]], shared.value, least) for k in range(batch.num_rows)]
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(r) for r in rarest]))
+            columns = [batch.column(c).take(row) for c in ("v", "n", "component")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(rarest).view(np.int64))], ["v", "n", "component", "shingle"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>, bits array<long>")
+    return unsettled.select("v", "n", "component", "shingles").mapInArrow(run, "v long, n long, component long, shingle long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,50 +206,93 @@ def _alike(least: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    a = sets.select(F.col("v").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("v").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb")).cast("long").alias("common")
     joined = pairs.select("a", "b").join(a, "a").join(b, "b")
     return joined.select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"), common).where(_alike(least)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 75) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each document."""
-    rows = two_columns(docs, key, text).where("id is not null")
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows = two_columns(docs, key, text)
+    return rows.select("id", _of_text("text").alias("of_text"), "text")
+
+
+def _of_text(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"), F.length(F.col(text).cast("string")))
+
+
+def _row_key(key: str, of_text: str) -> Column:
+    return F.xxhash64(F.col(key).isNull(), F.coalesce(F.col(key), F.lit(0)), of_text)
+
+
+def _labelled(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
+    """``id``, ``of_text``, ``n`` and ``component`` (the smallest id reachable) of each row."""
+    rows = _rows(docs, key, text)
     sketched = stored(_sketched(rows))
-    classes = sketched.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.any_value("keys").alias("keys"))
-    members = stored(classes.select("rep", "n", "f1", "f2", "keys"))
-    keyed = members.select("rep", "n", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1").select("key", F.col("lead.rep").alias("leader"), F.col("lead.n").alias("leader_n"))
+    # rows with one set are one class
+    members = stored(sketched.where("n > 0").groupBy("v", "f", "n").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "of_text")).alias("row")))
+    keyed = members.select("v", "n", F.explode("keys").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.min(F.struct("v", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1").select("key", F.col("lead.v").alias("leader"), F.col("lead.n").alias("leader_n"))
     shared = stored(keyed.join(buckets, "key"))
     near = f"100 * least({{0}}, {{1}}) >= {least} * greatest({{0}}, {{1}})"
-    first = stored(shared.where("rep <> leader").where(near.format("n", "leader_n")).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
-    sets = stored(_sets(rows.join(shared.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")))
+    first = stored(shared.where("v <> leader").where(near.format("n", "leader_n")).select(F.col("v").alias("a"), F.col("leader").alias("b")).distinct())
+    # of each class one row's text is read again
+    chosen = members.join(shared.select("v").distinct(), "v", "left_semi").select(_row_key("row.id", "row.of_text").alias("row_key")).distinct()
+    again = rows.withColumn("row_key", _row_key("id", "of_text")).join(chosen, "row_key", "left_semi").dropDuplicates(["row_key"])
+    sets = stored(_sets(again))
     linked = stored(_verified(first, sets, least))
     labels = components(linked)
 
-    held = shared.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component"))
-    open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "rep").alias("main")).where("low <> high").select("key", "main")
-    unsettled = stored(held.join(open_keys, "key"))
-    bits = sets.select(F.col("id").alias("rep"), "bits")
-    other = unsettled.join(bits, "rep").select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("bits").alias("bits2"))
-    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits2")[k])) for k in range(PARITIES // 64)), F.lit(0))
-    rest = unsettled.where("component <> main").join(bits, "rep").join(other, "key").where("component <> component2 and rep2 <> leader").where(near.format("n", "n2"))
-    rest = rest.where(differ * (100 + least) <= (F.col("n") + F.col("n2")) * (100 - least))
-    rest = rest.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    held = shared.select("key", "v", "n", "leader").join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    unsettled = stored(held.join(open_keys, "key", "left_semi").select("v", "n", "component").distinct().join(sets, "v"))
+    meeting = stored(_prefixes(unsettled, least))
+    groups = meeting.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "v").alias("main")).where("low <> high").select("shingle", "main")
+    meeting = stored(meeting.join(groups, "shingle"))
+    other = meeting.select("shingle", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
+    rest = meeting.where("component <> main").join(other, "shingle").where("component <> component2").where(near.format("n", "n2"))
+    rest = rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).distinct()
+    rest = rest.join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
+    bits = unsettled.select("v", "n", "bits")
+    of_a, of_b = (bits.select(F.col("v").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
+    differ = sum((F.bit_count(F.col("bitsa")[k].bitwiseXOR(F.col("bitsb")[k])) for k in range(PARITIES // 64)), F.lit(0))
+    rest = rest.join(of_a, "a").join(of_b, "b").where(differ * (100 + least) <= (F.col("na") + F.col("nb")) * (100 - least)).select("a", "b")
     more = stored(_verified(rest, sets, least))
     labels = components(linked.union(more)) if not more.isEmpty() else labels
 
-    of_class = members.select("f1", "f2", "n", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
-    found = sketched.select("id", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"], "left")
-    component = F.coalesce("component", "id")
-    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    of_class = members.select("v", "f", "n", "id").join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    smallest = of_class.groupBy("component").agg(F.min("id").alias("least"))
+    of_class = of_class.select("v", "f", "n", "component").join(smallest, "component").select("v", "f", "n", "component", "least")
+    found = sketched.select("id", "of_text", "n", "v", "f").join(of_class, ["v", "f", "n"], "left")
+    return found.select("id", "of_text", "n", F.col("component").alias("class"), F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 75) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each document."""
+    found = _labelled(docs, key, text, least)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 75) -> DataFrame:
-    """The rows of ``docs``, with all their columns, but one document of each class of near duplicates (its smallest id)."""
-    found = near_duplicates(docs, key, text, least).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs[key] == found["__gone"], "left_anti")
+    """The rows of ``docs``, with all their columns, but one document of each class of near duplicates.
+
+    That is the row with its smallest id (rows without one last), of several the one whose text's hash is smallest, of equal ones any.
+    Texts without words are no duplicates of each other.
+    """
+    found = stored(_labelled(docs, key, text, least).where("class is not null"))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "of_text")
+    best = found.groupBy("class").agg(F.min(rank).alias("best"))
+    # rows that go, by id and text; and those of which there are several alike, one of which stays
+    alike = found.groupBy("class", "id", "of_text").agg(F.count("*").alias("rows")).join(best, "class")
+    gone = alike.withColumn("stays", F.struct(F.col("id").isNull().alias("none"), "id", "of_text") == F.col("best")).where("not stays or rows > 1")
+    gone = stored(gone.select(F.col("id").alias("__id"), F.col("of_text").alias("__of_text"), F.col("stays").alias("__stays")))
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__id")) & (_of_text(f"`{text}`") == F.col("__of_text"))
+    kept = docs.join(gone.select("__id", "__of_text"), same, "left_anti")
+    if gone.where("__stays").isEmpty():
+        return kept
+    several = docs.join(gone.where("__stays"), same).withColumn("__row", F.row_number().over(Window.partitionBy("__id", "__of_text").orderBy(F.lit(0)))).where("__row = 1")
+    return kept.union(several.select(*(F.col(f"`{c}`") for c in docs.columns)))
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -208,7 +304,7 @@ def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
-  FROM documents WHERE doc_id IS NOT NULL
+  FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split
 ), sizes AS (

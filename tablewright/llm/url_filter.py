@@ -15,10 +15,11 @@ midpoint between neighbouring scores that errs least often, the one nearest 0 am
 Logarithms are kept as whole millionths, so sums don't depend on their order.
 
 How it runs: counts of (class, context, character) are pre-aggregated by each task before they are shuffled;
-the score of each different (context, character) is computed once; the addresses' characters meet that table in
-a join salted by ``SALT``, so that a beginning that all addresses share is no hot key.  Tables of contexts and
-scores grow with the number of different contexts, not of addresses, and are never collected; only the
-calibrated threshold is.
+the score of each different (context, character) is computed once.  Those that make up at least one in ``HEAVY``
+of all characters (there can be no more than ``HEAVY`` of them, whatever the input), such as a beginning that all addresses share, are broadcast with
+their scores and looked up where the addresses are; the characters of all others meet the table of scores in a shuffled join
+in which no key has more than that share.  Tables of contexts and scores grow with the number of different contexts, not of
+addresses, and are never collected; only the calibrated threshold is.
 
 Defined results: null, or without ``://``: host and path are empty, no rule fits, the score is 0; if one of the
 classes has no address to learn from, or the models have no held-out address, the threshold is 0 and an
@@ -37,7 +38,8 @@ from ._spark import cut
 
 ORDER = 4
 ALPHABET = 256
-SALT = 8
+#: A character after its context is broadcast if it makes up one in so many of all.
+HEAVY = 10_000
 #: Stands before the first and after the last character; no address holds it.
 EDGE = "\u0001"
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
@@ -100,16 +102,20 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Seque
 
     learn = _grams(rows.select("address", "listed", "fold"), order)
     of_class = lambda c: F.sum(((F.col("listed") == c) & (F.col("fold") != 0)).cast("long"))
-    counts = cut(learn.groupBy("gram").agg(F.coalesce(of_class("allow"), F.lit(0)).alias("allow"), F.coalesce(of_class("block"), F.lit(0)).alias("block")))
-    ratio = _ratio(counts, order, ALPHABET).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    counts = cut(learn.groupBy("gram").agg(F.coalesce(of_class("allow"), F.lit(0)).alias("allow"), F.coalesce(of_class("block"), F.lit(0)).alias("block"), F.count("*").alias("held")))
+    seen = counts.agg(F.sum("allow").alias("a"), F.sum("block").alias("b"), F.sum("held").alias("held")).first()
+    ratio = cut(_ratio(counts, order, ALPHABET).join(counts.select("gram", (F.col("held") * HEAVY >= F.lit(seen.held or 0)).alias("heavy")), "gram"))
+    heavy = F.broadcast(ratio.where("heavy").select("gram", "ratio"))
 
     # equal addresses are scored once
-    distinct = rows.groupBy("address").agg(F.sum((F.col("listed").isNotNull() & (F.col("fold") == 0) & (F.col("listed") == "allow")).cast("long")).alias("good"), F.sum((F.col("listed").isNotNull() & (F.col("fold") == 0) & (F.col("listed") == "block")).cast("long")).alias("bad"))
-    letters = _grams(distinct, order).withColumn("salt", F.pmod(F.xxhash64("address"), F.lit(SALT)).cast("int"))
-    summed = letters.join(ratio, ["gram", "salt"]).groupBy("address").agg(F.sum("ratio").alias("total"), F.any_value("good").alias("good"), F.any_value("bad").alias("bad"))
+    decided = lambda c: F.sum((F.coalesce(F.col("listed") == c, F.lit(False)) & (F.col("fold") == 0)).cast("long"))
+    distinct = cut(rows.groupBy("address").agg(decided("allow").alias("good"), decided("block").alias("bad")))
+    letters = _grams(distinct, order).join(heavy, "gram", "left")
+    near = letters.where("ratio is not null").select("address", "good", "bad", "ratio")
+    far = letters.where("ratio is null").drop("ratio").join(ratio.where("not heavy"), "gram").select("address", "good", "bad", "ratio")
+    summed = near.union(far).groupBy("address").agg(F.sum("ratio").alias("total"), F.any_value("good").alias("good"), F.any_value("bad").alias("bad"))
     scores = cut(summed.select("address", F.when(F.length("address") > 0, F.floor(F.col("total") / (F.length("address") + 1))).otherwise(F.lit(0)).alias("score"), "good", "bad"))
 
-    seen = counts.agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).first()
     limit = _threshold(scores) if seen.a and seen.b else 0
     judged = rows.join(scores.select("address", "score"), "address", "left")
     found = F.when(F.col("score") >= limit, "allow").otherwise("block")

@@ -33,14 +33,30 @@ def test_phrases_equal_plain_search(sample, texts):
         assert found[k] == longest_phrases(text, whole)
 
 
+def test_lanes_do_not_show(monkeypatch):
+    """Texts of many lanes, one of them a phrase of the sample from end to end, parse as plain search does."""
+    monkeypatch.setattr(langid, "LANE", 16)
+    rng = np.random.default_rng(5)
+    sample = "".join(rng.choice(list("aab c"), 3000))
+    texts = ["".join(rng.choice(list("aab cd"), n)) for n in (0, 1, 16, 17, 700)] + [sample[100:900], sample[5:400] + "d" * 40 + sample[:300]]
+    model = langid.Model.of({"x": [sample], "y": ["dad"]}, 10_000)
+    whole = "".join(chr(c) if c else " " for c in langid._signs([sample, " "])[0])
+    signs, at, _ = langid._signs(texts)
+    found = model.phrases(signs, at)[:, model.langs.index("x")]
+    for k in range(len(texts)):
+        assert found[k] == longest_phrases("".join(chr(c) if c else " " for c in signs[at[k] : at[k + 1]]), whole)
+    assert found[5] == 1
+
+
 def test_automaton_knows_every_substring():
     text = np.array([1, 2, 1, 1, 2, 2, 1, 2, 1, 1])
-    table = langid.suffix_automaton(text, 3)
+    state, sign, to, _ = langid.suffix_automaton(text)
+    arcs = {(s, c): t for s, c, t in zip(state.tolist(), sign.tolist(), to.tolist(), strict=True)}
 
     def known(word):
         s = 1
         for c in word:
-            s = table[s, c]
+            s = arcs.get((s, c))
             if not s:
                 return False
         return True
@@ -53,6 +69,29 @@ def test_automaton_knows_every_substring():
         assert all(known(w) == (w in subs) for w in words)
 
 
+def test_arcs_are_found():
+    rng = np.random.default_rng(2)
+    pairs = np.unique(rng.integers(0, 200 * 3000, 5000))
+    state, sign = pairs // 3000, pairs % 3000
+    table = langid.Arcs.of(state, sign, np.arange(1, len(pairs) + 1), 200)
+    assert (table.find(state, sign) == np.arange(1, len(pairs) + 1)).all()
+    other = np.setdiff1d(rng.integers(0, 200 * 3000, 5000), pairs)
+    assert not table.find(other // 3000, other % 3000).any()
+    assert not langid.Arcs.of(state[:0], sign[:0], sign[:0], 200).find(state, sign).any()
+
+
+def test_price_ties_go_to_the_first_name():
+    model = langid.Model.of({"b": ["same words here"], "a": ["same words here"]}, 100)
+    assert model.predict(["same words"])[0] == ["a"]
+
+
+def test_languages_are_bounded(spark):
+    rows = [(k, f"word{k} " * 20, f"l{k % 7}" if k % 3 else "often") for k in range(60)] + [(1, "twice", "l1"), (1, "twice", "l1")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langs=3)
+    assert model.langs == ["l1", "l2", "often"] or len(model.langs) == 3 and "often" in model.langs
+    assert len(langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars=30).price) <= 8
+
+
 def test_held_out_accuracy(spark, data):
     got = {r.doc_id: r for r in langid.op6_langid(spark, data).collect()}
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang").collect()

@@ -56,6 +56,53 @@ def test_near_copies_in_one_bucket(spark):
     assert {r[2] for r in result(df)} == {0}
 
 
+def test_rows_without_id_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(5, one), (None, one), (None, two), (7, three), (7, one), (9, three + " end"), (None, None), (8, ""), (5, one)]
+    df = spark.createDataFrame([(k, t, n) for n, (k, t) in enumerate(rows)], "doc_id long, text string, v long")
+    got = sorted((tuple(r) for r in near_dedup.near_duplicates(df).collect()), key=repr)
+    want = [(5, 36, 5, True), (None, 36, 5, False), (None, 36, None, True), (7, 36, 7, True), (7, 36, 5, False), (9, 37, 7, False), (None, 0, None, True), (8, 0, 8, True), (5, 36, 5, True)]
+    assert got == sorted(want, key=repr)
+    kept = near_dedup.drop_duplicates(df)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(5, one), (None, two), (7, three), (None, None), (8, "")], key=repr)
+
+
+def family(n):
+    """Documents that share 71 of a hundred words in one run, and so less than the threshold."""
+    shared = [f"s{i}" for i in range(170)]
+    return [(k, " ".join([*shared, *(f"x{k}_{i}" for i in range(33))])) for k in range(n)]
+
+
+def test_a_family_below_the_threshold_meets_nowhere(spark):
+    rows = family(3000)
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.7 < len(a & b) / len(a | b) < 0.75
+    rows += [(9000 + k, rows[k][1] + " more") for k in range(0, 3000, 500)]
+    found = result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r[0], r[2]) for r in found if r[0] != r[2]} == {(9000 + k, k) for k in range(0, 3000, 500)}
+
+
+def test_prefixes_of_sets_that_are_alike_meet():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    count = rng.integers(0, 3, 64).astype(np.int32)
+    for _ in range(500):
+        a = np.unique(rng.integers(0, 2**64, rng.integers(1, 40), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.9], rng.integers(0, 2**64, rng.integers(0, 8), dtype=np.uint64))))
+        both = len(np.intersect1d(a, b))
+        if both and 100 * both >= 75 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(near_dedup.prefix(a, count, 75), near_dedup.prefix(b, count, 75)))
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{i % 70_000}" for i in range(300_000))
+    rows = [(1, text), (2, text + " tail"), (3, "other words are in this one")]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == {(1, 70_000, 1, True), (2, 70_001, 1, False), (3, 2, 3, True)}
+
+
 def test_empty(spark):
     assert result(spark.createDataFrame([], "doc_id long, text string")) == set()
     assert near_dedup.drop_duplicates(spark.createDataFrame([(1, None), (2, None)], "doc_id long, text string")).count() == 2
