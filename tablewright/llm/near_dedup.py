@@ -12,8 +12,10 @@ A document is the set of its distinct ``n``-word shingles (64-bit hashes of the
   bucket every member is compared with the bucket's first member on full sets, and components are taken.  Members of
   buckets that still hold two components are unsettled; their pairs come from prefix filtering, not from the
   buckets: of two sets that are alike enough, the parts that hold their n - ceil(0.75 n) + 1 rarest shingles, in one order for
-  all sets, have one in common.  So only documents that share one of their rarest shingles meet, and a family of
-  documents that share much, but less than the threshold, meets nowhere however large it is.  Pairs are made
+  all sets, have one in common.  A shingle that more than ``HOT`` such parts hold is split by the sizes of the two sets:
+  with both sizes known (to a factor of ``STEP``) the parts that must meet are as short as the overlap that the two
+  sizes demand leaves them.  So a family of documents that share much, but less than the threshold, meets nowhere however large
+  it is, and other shingles bring each member at most ``HOT`` others.  Pairs are made
   distinct, then 2,048 parity bits of each set bound the size of the symmetric difference from below, and
   the pairs that this exact bound leaves are compared on full sets.  No pair of a bucket stays undecided unless
   its ends are connected already, and a bucket of near copies costs as many full comparisons as it has
@@ -51,6 +53,8 @@ ROWS, BANDS = 4, 32
 PARITIES = 2048
 #: Hashed counts of shingles that order them; 4 MB.
 COUNTERS = 1 << 20
+#: Holders of a shingle that are paired without regard to size, and the ratio of neighbouring classes of size.
+HOT, STEP = 64, 1.04
 _SEEDS = np.random.default_rng(19).integers(0, 2**64, 2 * ROWS * BANDS, dtype=np.uint64)
 
 
@@ -145,7 +149,7 @@ def prefix(shingles: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
 
 
 def _prefixes(unsettled: DataFrame, least: int) -> DataFrame:
-    """``v``, ``n``, ``component``, ``main`` and ``shingle``, a row for each shingle of a set's prefix."""
+    """``v``, ``n``, ``component``, ``shingle`` and its ``place`` from the rarest, a row for each shingle of a set's prefix."""
     spark = unsettled.sparkSession
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +172,40 @@ def _prefixes(unsettled: DataFrame, least: int) -> DataFrame:
             rarest = [prefix(flat[at[k] : at[k + 1]], shared.value, least) for k in range(batch.num_rows)]
             row = pa.array(np.repeat(np.arange(batch.num_rows), [len(r) for r in rarest]))
             columns = [batch.column(c).take(row) for c in ("v", "n", "component")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(rarest).view(np.int64))], ["v", "n", "component", "shingle"])
+            place = np.concatenate([np.arange(len(r), dtype=np.int64) for r in rarest])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(rarest).view(np.int64)), pa.array(place)], ["v", "n", "component", "shingle", "place"])
 
-    return unsettled.select("v", "n", "component", "shingles").mapInArrow(run, "v long, n long, component long, shingle long")
+    return unsettled.select("v", "n", "component", "shingles").mapInArrow(run, "v long, n long, component long, shingle long, place long")
+
+
+def _candidates(meeting: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a shingle of their prefixes and may be alike by their sizes.
+
+    ``meeting``: the rows of ``_prefixes``.
+    """
+    kinds = (F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "v").alias("main"))
+    groups = meeting.groupBy("shingle").agg(*kinds, F.count("*").alias("held")).where("low <> high").select("shingle", "main", "held")
+    meeting = stored(meeting.join(groups, "shingle"))
+
+    def pairs(rows: DataFrame, on: list[str], more: str) -> DataFrame:
+        # of a group's pairs those inside its main component, the bulk among near copies, are never formed
+        other = rows.select(*on, F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("role").alias("role2"))
+        near = f"100 * least(n, n2) >= {least} * greatest(n, n2)"
+        met = rows.where("component <> main").join(other, on).where(f"component <> component2 and {near} and {more}")
+        return met.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b"))
+
+    cold = pairs(meeting.where(F.col("held") <= HOT).withColumn("role", F.lit(0)), ["shingle"], "true")
+    # a place is in the part that must meet if it is below n - overlap + 1; the overlap by this size and the other class's least size
+    size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(STEP)))
+    hot = meeting.where(F.col("held") > HOT).withColumn("size", size_class(F.col("n")))
+    reach = F.sequence(size_class(F.col("n") * least / 100) - 1, size_class(F.col("n") * 100 / least) + 1)
+    hot = hot.withColumn("other", F.explode(reach)).withColumn("overlap", F.ceil((F.col("n") + F.pow(F.lit(STEP), "other") * (1 - 1e-9)) * least / (100 + least) - 1e-6))
+    hot = hot.where("place <= n - overlap").withColumn("role", F.explode(F.expr("filter(array(0, 1), r -> (r = 0 and size <= other) or (r = 1 and size >= other))")))
+    hot = hot.select("shingle", F.least("size", "other").alias("small"), F.greatest("size", "other").alias("large"), "role", "v", "n", "component")
+    on = ["shingle", "small", "large"]
+    both = hot.groupBy(*on).agg(*kinds, F.min("role").alias("first"), F.max("role").alias("second")).where("low <> high and first <> second").select(*on, "main")
+    split = pairs(stored(hot.join(both, on)), on, "role <> role2")
+    return cold.union(split).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -248,11 +283,7 @@ def _labelled(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     unsettled = stored(held.join(open_keys, "key", "left_semi").select("v", "n", "component").distinct().join(sets, "v"))
     meeting = stored(_prefixes(unsettled, least))
-    groups = meeting.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "v").alias("main")).where("low <> high").select("shingle", "main")
-    meeting = stored(meeting.join(groups, "shingle"))
-    other = meeting.select("shingle", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    rest = meeting.where("component <> main").join(other, "shingle").where("component <> component2").where(near.format("n", "n2"))
-    rest = rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).distinct()
+    rest = _candidates(meeting, least)
     rest = rest.join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
     bits = unsettled.select("v", "n", "bits")
     of_a, of_b = (bits.select(F.col("v").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
