@@ -74,7 +74,7 @@ def decimal_bytes(value: decimal.Decimal) -> bytes:
         raise TableError("a decimal without a finite value cannot be encoded")
     coefficient = int("".join(map(str, digits)))
     if coefficient >= _MOST:
-        raise ValueError("too many digits in coefficient")
+        raise ValueError("the coefficient of a decimal has more than 96 bits")
     return coefficient.to_bytes(12, "little") + bytes(2) + (exponent + _BIAS << 1 | sign << 15).to_bytes(2, "little")
 
 
@@ -86,6 +86,26 @@ def bytes_decimal(data: bytes) -> decimal.Decimal:
     return decimal.Decimal((last >> 15, digits, (last >> 1 & 0x3FFF) - _BIAS))
 
 
+@F.pandas_udf(T.BinaryType())
+def _decimal_binary(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else decimal_bytes(v))
+
+
+def decimal_binary(column: Column) -> Column:
+    """A decimal column as 16 bytes each; a coefficient of more than 96 bits is an error."""
+    return _decimal_binary(column)
+
+
+def binary_decimal(column: Column, kind: T.DecimalType) -> Column:
+    """16 bytes each as a decimal column of type ``kind``."""
+
+    @F.pandas_udf(kind)
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else bytes_decimal(bytes(v)))
+
+    return run(column)
+
+
 # ---- text
 
 
@@ -185,7 +205,7 @@ def timespan_micros(column: Column) -> Column:
 def convert(column: Column, have: str, want: str, kind: T.DataType | None = None) -> Column:
     """``column`` of type ``have`` (Spark type ``kind``) as type ``want``; NaN becomes null, times are whole milliseconds."""
     if not (convertible(have, want) or have == want):
-        raise TableError(f"cannot convert {have} type to {want} type; incompatible types")
+        raise TableError(f"{have} does not become {want}")
     column = valid(column, kind if kind is not None else SPARK[have])
     if want == BOOLEAN:
         return truth(column, have)

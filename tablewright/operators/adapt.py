@@ -50,7 +50,7 @@ def to_table(obj, default_column: str = "x", spark: SparkSession | None = None)
         return _columns(spark, {default_column: _array(obj)})
     if isinstance(obj, dict):
         if not all(isinstance(v, list) for v in obj.values()):
-            raise TableError("obj is not a dict of lists")
+            raise TableError("a dict of columns must hold lists")
         if len({len(v) for v in obj.values()}) > 1:
             raise TableError("columns are not of one length")
         return _columns(spark, {str(k): _values(v, f"column '{k}'") for k, v in obj.items()})

@@ -92,7 +92,7 @@ def encode(metadata: Mapping[str, object]) -> dict[str, dict[str, str]]:
         if len(values) > 1:
             raise TableError(f"metadata '{name}' is not length 1")
         if not values:
-            raise TableError(f"cannot determine type for metadata '{name}'; all values are missing")
+            raise TableError(f"the type of metadata '{name}' is unknown: all values are missing")
         out[str(name)] = encode_value(values[0])
     return out
 
@@ -159,9 +159,9 @@ def set_types(df: DataFrame | Table, types: Mapping[str, str]) -> DataFrame | Ta
     known = set(out.columns)
     for column, kind in types.items():
         if column not in known:
-            warnings.warn(f"Column '{column}' not found in data", TableWarning, stacklevel=2)
+            warnings.warn(f"there is no column '{column}'", TableWarning, stacklevel=2)
         elif not kinds.is_type(kind):
-            warnings.warn(f"Type '{kind}' for column '{column}' not recognized", TableWarning, stacklevel=2)
+            warnings.warn(f"'{kind}' is no type for column '{column}'", TableWarning, stacklevel=2)
         else:
             out = out.withMetadata(column, {**(out.schema[column].metadata or {}), "tablewright.declared": kind})
     return Table(out, dict(df.metadata)) if isinstance(df, Table) else out

@@ -152,11 +152,8 @@ _ENCODED = ("region", "nation", "customer", "supplier", "part", "orders", "linei
 @query(f"""SELECT table_name AS table_name, column_name AS "column", type, CASE type WHEN 'Boolean' THEN 'bit array' WHEN 'Binary' THEN 'plain' ELSE 'run length' END AS encoding
 FROM (SELECT table_name, column_name, {_TYPE_CASE} AS type FROM information_schema.columns WHERE table_name IN {_ENCODED})""")
 def encoding_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [slices.encoding_plan(_read(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "column", "type", "encoding") for t in _ENCODED]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    rows = [F.struct(F.lit(t).alias("table_name"), F.lit(f.name).alias("column"), F.lit(of_field(f)).alias("type"), F.lit(slices.encoding(of_field(f))).alias("encoding")) for t in _ENCODED for f in _read(spark, sf_dir, t).schema.fields]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 @query("""SELECT 'event_id' AS "column", 0 AS n_invalid, false AS has_mask UNION ALL
@@ -256,7 +253,14 @@ def metadata_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-@query()
+_REPORT = """table metadata:
+ {'origin': ['region']}
+column metadata:
+ r_name: {'note': ['name']}
+ (columns without metadata are left out)"""
+
+
+@query(f"SELECT '{_REPORT.replace("'", "''")}' AS report")
 def metadata_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = meta.with_column_metadata(_read(spark, sf_dir, "region"), "r_name", {"note": "name"})
     return spark.range(1).select(F.lit(meta.metadata_report(Table(df, {"origin": ["region"]}))).alias("report"))
@@ -316,3 +320,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The script host over ``lineitem``: source, type policy, script and typed output."""
     return datafn_simple_math(spark, sf_dir)
 
+
+from . import queries_objects as _objects  # noqa: E402, F401  registers its queries here

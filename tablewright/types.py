@@ -53,6 +53,15 @@ def is_type(name: str | None) -> bool:
     return name in SPARK
 
 
+def number(name: str | None) -> int | None:
+    """A type's place in the closed list; None for what isn't one.  Numbers are this package's own."""
+    return NAMES.index(name) if name in SPARK else None
+
+
+def of_number(place: int) -> str | None:
+    return NAMES[place] if 0 <= place < len(NAMES) else None
+
+
 def of_spark(kind: T.DataType, name: str = "") -> str:
     """The type of a Spark column that says nothing about itself."""
     match kind:
@@ -98,10 +107,10 @@ def checked(have: str | None, want: str | None, what: str = "column") -> str:
     """The type to write: ``want`` if it is one of the twelve, else ``have``."""
     if not is_type(want):
         if have is None:
-            raise TableError(f"cannot determine type for {what}; all values are missing")
+            raise TableError(f"the type of {what} is unknown: all values are missing")
         return have
     if have is not None and not convertible(have, want):
-        raise TableError(f"cannot convert {have} type to {want} type; incompatible types")
+        raise TableError(f"{have} does not become {want}")
     return want
 
 
@@ -145,10 +154,10 @@ def of_values(values: Iterable, what: str = "column") -> str:
     """The type of the first value that isn't missing; all others must be instances of that value's class."""
     found = [v for v in values if not missing(v)]
     if not found:
-        raise TableError(f"cannot determine type for {what}; all values are missing")
+        raise TableError(f"the type of {what} is unknown: all values are missing")
     kind = type(found[0])
     if not all(isinstance(v, kind) for v in found):
-        raise TableError(f"types in {what} do not match")
+        raise TableError(f"{what} has values of several types")
     if kind not in _EXACT:
         raise TableError(f"unknown type '{kind.__name__}' of {what}")
     return _EXACT[kind]

@@ -4,15 +4,19 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.errors import TableError, TableWarning
 from tablewright.functions import geo
+from tablewright.functions.convert import decimal_bytes
 from tablewright.operators import metadata as meta
 from tablewright.operators import packages, slices
 from tablewright.operators.adapt import to_table
 from tablewright.operators.metadata import Table
+from tablewright.operators.slices import encoding
+from tablewright.sources import sliced
 from tablewright.sources.store import read_table, read_table_stream, write_table
 from tablewright.streaming import tables as streams
 
@@ -145,9 +149,9 @@ def test_resolutions(spark, unit):
 
 def test_metadata_operators(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
-    with pytest.warns(TableWarning, match="not found"):
+    with pytest.warns(TableWarning, match="there is no column"):
         meta.set_types(df, {"z": "Integer"})
-    with pytest.warns(TableWarning, match="not recognized"):
+    with pytest.warns(TableWarning, match="is no type"):
         named = meta.set_types(df, {"x": "Nothing", "y": "Boolean"})
     assert meta.declared(named) == {"y": "Boolean"}
     with pytest.raises(TypeError):
@@ -260,3 +264,66 @@ def test_bundle():
     from tablewright import support
 
     assert "pyspark" in support.bundle()
+
+
+def test_sliced_store(spark, tmp_path):
+    table = alltypes(spark)
+    for name, more in (("a", {}), ("b", {"per_slice": 2, "run_lengths": False}), ("c", {"per_slice": 5})):
+        sliced.write_slices(table, tmp_path / name, **more)
+        back = sliced.read_slices(spark, tmp_path / name)
+        assert meta.get_types(back) == meta.get_types(table) and back.metadata == meta.decode(meta.encode(EVERY))
+        assert sorted(back.df.collect(), key=lambda r: r.CMTNA) == sorted(table.df.collect(), key=lambda r: r.CMTNA)
+        assert meta.column_metadata(back, "Binary")["TMDTimeSpan"] == [EVERY["TMDTimeSpan"]]
+    assert sliced.slices_of(spark, tmp_path / "b").agg(F.max("n_rows")).first()[0] == 2
+    sliced.write_slices(Table(table.df.where("false"), table.metadata), tmp_path / "none")
+    assert len(sliced.read_slices(spark, tmp_path / "none").df.columns) == 13 and sliced.read_slices(spark, tmp_path / "none").df.count() == 0
+    sliced.write_slices(Table(spark.range(0).select()), tmp_path / "bare")
+    assert sliced.read_slices(spark, tmp_path / "bare").df.columns == []
+    sliced.write_slices(spark.range(3), tmp_path / "a", mode="overwrite")
+    assert sorted(r.id for r in sliced.read_slices(spark, tmp_path / "a").df.collect()) == [0, 1, 2]
+    with pytest.raises(ValueError, match="96 bits"):
+        decimal_bytes(decimal.Decimal(2**96))
+
+
+@pytest.mark.parametrize("run_lengths", [True, False])
+@pytest.mark.parametrize(("kind", "values"), [("Boolean", pa.array([True, None, False, True, True, None, False, False, True])), ("Integer", pa.array([1, 1, None, 1, 2, 2], pa.int32())), ("Real", pa.array([0.5, None, -0.0], pa.float64())), ("String", pa.array(["", "é", "é", None])), ("Binary", pa.array([b"", None, b"\x00"], pa.binary())), ("LongInteger", pa.array([], pa.int64())), ("String", pa.array([None, None], pa.string()))])
+def test_column_slices(kind, values, run_lengths):
+    part = sliced.encode(values, kind, run_lengths)
+    assert part["encoding"] == encoding(kind, run_lengths) and (part["mask"] is None) == (values.null_count == 0)
+    assert sliced.decode(part, len(values), kind).to_pylist() == values.to_pylist()
+
+
+def test_append(spark, tmp_path):
+    write_table(spark.range(3), tmp_path / "t")
+    write_table(Table(spark.range(3, 5), {"note": ["later"]}), tmp_path / "t", mode="append")
+    back = read_table(spark, tmp_path / "t")
+    assert sorted(r.id for r in back.df.collect()) == [0, 1, 2, 3, 4] and back.metadata == {"note": ["later"]}
+    with pytest.raises(TableError, match="cannot be appended"):
+        write_table(spark.range(3).selectExpr("cast(id as int) id"), tmp_path / "t", mode="append")
+    write_table(spark.range(2), tmp_path / "new", mode="append")
+    assert read_table(spark, tmp_path / "new").df.count() == 2
+
+
+def test_descriptor_as_path(spark, tmp_path):
+    import os
+
+    write_table(spark.range(3), tmp_path / "t")
+    at = os.open(tmp_path / "t", os.O_RDONLY)
+    assert read_table(spark, at).df.count() == 3
+    os.close(at)
+    with pytest.raises(TypeError):
+        read_table(spark, True)
+
+
+def test_versions_of_four_numbers():
+    of = packages.Version.of
+    assert of("1.2") < of("1.2.0.1") < of("1.10") and str(of("1.2").raised(2)) == "1.2.1.0"
+    for bad in ("1.x", "1.2.3.4.5", ""):
+        with pytest.raises(ValueError, match="no version"):
+            of(bad)
+
+
+def test_closure_of_a_long_chain_and_a_cycle(spark):
+    edges = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(11)] + [("n5", "n2"), ("n3", "n3"), ("x", "y"), ("n1", None)], "name string, needs string")
+    found = packages.closure(edges, spark.createDataFrame([("n1",), (None,)], "name string"))
+    assert sorted(r.name for r in found.collect()) == sorted(f"n{k}" for k in range(1, 12))

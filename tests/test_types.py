@@ -42,7 +42,7 @@ def test_conversions(spark, source):
     assert types.of_field(table.df.schema["x"]) == source
     for target in types.NAMES:
         if not types.convertible(source, target):
-            with pytest.raises(TableError, match="incompatible types"):
+            with pytest.raises(TableError, match="does not become"):
                 prepared(table, {"x": target})
             continue
         got = [r.x for r in prepared(table, {"x": target}).collect()]
@@ -84,7 +84,7 @@ def test_decimal_codec(text):
 
 
 def test_decimal_too_long():
-    with pytest.raises(ValueError, match="too many digits"):
+    with pytest.raises(ValueError, match="96 bits"):
         convert.decimal_bytes(decimal.Decimal(2**96))
 
 
@@ -96,7 +96,7 @@ def test_inference(values, kind):
     assert types.of_values(values) == kind
 
 
-@pytest.mark.parametrize(("values", "says"), [([True, 1], "do not match"), ([dt.datetime(2020, 1, 1), dt.date(2020, 1, 1)], "do not match"), ([None, float("nan")], "all values are missing"), ([bytearray(b"x")], "unknown type"), ([np.int8(1)], "unknown type")])
+@pytest.mark.parametrize(("values", "says"), [([True, 1], "several types"), ([dt.datetime(2020, 1, 1), dt.date(2020, 1, 1)], "several types"), ([None, float("nan")], "all values are missing"), ([bytearray(b"x")], "unknown type"), ([np.int8(1)], "unknown type")])
 def test_inference_errors(values, says):
     with pytest.raises(TableError, match=says):
         types.of_values(values)
