@@ -19,10 +19,12 @@ SLICE_BYTES = (1 << 20) - 1
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; one of our own only where none is set (tests)."""
+    """The shared folder of the cluster; one of our own only where none is set and all runs on this machine (tests)."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         named = tempfile.mkdtemp(prefix="tablewright-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -43,7 +45,10 @@ def release() -> None:
 
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
-    """Let at most ``most`` rows, which may be long texts, go to a Python worker at once.  A smaller setting of the session stays."""
+    """Let at most ``most`` rows, which may be long texts, go to a Python worker at once.
+
+    Frames run later than they are made, so the session's setting stays changed; a smaller one is left as it is.
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name, "10000")) <= most:
         spark.conf.set(name, str(most))

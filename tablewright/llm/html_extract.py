@@ -45,7 +45,7 @@ from ._spark import cut, slices, small_batches
 from .url_filter import address
 
 SUPPORT, SIZE = 3, 3
-#: Templates up to this many rows are broadcast (24 bytes each); larger ones are joined by host.
+#: Templates up to this many tokens in all are broadcast; larger ones are joined by host.
 BROADCAST_ROWS = 500_000
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
@@ -231,25 +231,56 @@ def templates(pages: DataFrame) -> DataFrame:
     return found.join(_valid(pages, found), ["host", "class"], "left_semi").select("host", "role", "class", "place")
 
 
-def _by_host(found: DataFrame, *more: str) -> DataFrame:
-    """The template of each host, broadcast if it is small."""
-    by_host = cut(found.groupBy("host").agg(F.collect_list(F.struct("role", "class", "place", *more)).alias("template")))
-    size = by_host.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
-    return F.broadcast(by_host) if size <= BROADCAST_ROWS else by_host
+class _Templates:
+    """Each host's template: a broadcast table while there are at most ``BROADCAST_ROWS`` tokens, beyond that a column joined to the pages."""
+
+    def __init__(self, found: DataFrame) -> None:
+        columns = [F.col(c) for c in ("role", "class", "place", *(["frame"] if "frame" in found.columns else []))]
+        self.small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        if self.small:
+            of_host: dict[str, list[tuple]] = {}
+            for r in found.select("host", F.struct(*columns).alias("m")).collect():
+                of_host.setdefault(r.host, []).append(tuple(r.m))
+            self.shared = found.sparkSession.sparkContext.broadcast(of_host)
+        else:
+            self.shared = None
+            self.by_host = cut(found.groupBy("host").agg(F.collect_list(F.struct(*columns)).alias("template")))
+
+    def to(self, pages: DataFrame) -> DataFrame:
+        """``pages`` with a column ``template``, null where the table is broadcast."""
+        if self.small:
+            return pages.withColumn("template", F.lit(None).cast("array<struct<role:long,class:long,place:double,frame:boolean>>"))
+        return pages.join(self.by_host, "host", "left")
+
+
+def _reader(shared):
+    """A function that gives the rows of a host's template (role, class, place, frame), of the broadcast table or else of the page's column; each is read once."""
+    known: dict[str, list[tuple]] = {}
+
+    def read_one(host: str, members) -> list[tuple]:
+        if host not in known:
+            known[host] = shared.value.get(host, []) if shared is not None else [tuple(m.values()) for m in members.as_py() or []]
+        return known[host]
+
+    return read_one
 
 
 def _valid(pages: DataFrame, found: DataFrame) -> DataFrame:
     """``host``, ``class`` of the classes in order on nine pages of ten, and in one gap of the frame on all of those."""
 
+    known = _Templates(found)
+    shared = known.shared
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        template_of = _reader(shared)
+        of_host: dict[str, tuple[dict, set]] = {}
         for batch in batches:
             for part in slices(batch, "html"):
-                of_host: dict[str, tuple[dict, set]] = {}
                 seen: dict[tuple[str, int], list[int]] = {}
                 for host, html, members in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("template"), strict=True):
                     if host not in of_host:
-                        ms = members.as_py()
-                        of_host[host] = {m["role"]: (m["class"], m["place"]) for m in ms}, {m["role"] for m in ms if m["frame"]}
+                        ms = template_of(host, members)
+                        of_host[host] = {r: (c, p) for r, c, p, _ in ms}, {r for r, _, _, frame in ms if frame}
                     template, frame = of_host[host]
                     tokens = read(html or "")
                     sequences = _sequences(tokens, template)
@@ -272,7 +303,7 @@ def _valid(pages: DataFrame, found: DataFrame) -> DataFrame:
                     hosts, classes = zip(*seen, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(classes, pa.int64()), *(pa.array(x, pa.int64()) for x in zip(*seen.values(), strict=True))], ["host", "class", "pages", "bad", "low", "high"])
 
-    rows = pages.join(_by_host(found, "frame"), "host").select("host", "html", "template")
+    rows = known.to(pages).select("host", "html", "template")
     sums = rows.mapInArrow(run, "host string, class long, pages long, bad long, low long, high long").groupBy("host", "class").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"), F.min("low").alias("low"), F.max("high").alias("high"))
     return sums.where("10 * bad <= pages and low >= high").select("host", "class")
 
@@ -283,20 +314,22 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
     host, _ = address(F.col(url).cast("string"))
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).cast("string").alias("url"), host.alias("host"), F.col(html).cast("string").alias("html"))
     found = templates(rows.select(F.monotonically_increasing_id().alias("row"), "host", "html"))
-    by_host = _by_host(found)
+    known = _Templates(found)
+    shared = known.shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        template_of = _reader(shared)
+        of_host: dict[str, dict] = {}
         for batch in batches:
             for part in slices(batch, "html"):
                 texts = []
-                of_host: dict[str, dict] = {}
                 for h, page, members in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("template"), strict=True):
                     if h not in of_host:
-                        of_host[h] = {m["role"]: (m["class"], m["place"]) for m in members.as_py()} if members.is_valid else {}
+                        of_host[h] = {m[0]: (m[1], m[2]) for m in template_of(h, members)}
                     texts.append(extract(page, of_host[h]))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return rows.join(by_host, "host", "left").select("id", "url", "host", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return known.to(rows).select("id", "url", "host", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op4_html_text(spark, sf_dir: str) -> DataFrame:

@@ -102,3 +102,71 @@ def test_invalid_classes(spark):
     found = html_extract.templates(spark.createDataFrame(pages_, "row long, host string, html string")).collect()
     roles = {t.role for t in html_extract.read(pages_[1][2]) if t.tag in ("section", "dl", "pre")}
     assert found and not roles & {r.role for r in found}
+
+
+def brute_templates(pages):
+    """Classes by whole occurrence vectors, host by host, and the checks of the second pass written out."""
+    out = {}
+    for host in {h for _, h, _ in pages}:
+        read = [[t for t in html_extract.read(html) if t.role] for _, h, html in pages if h == host]
+        roles = {t.role for p in read for t in p}
+        vector = {r: tuple(sum(t.role == r for t in p) for p in read) for r in roles}
+        support = {r: sum(n > 0 for n in v) for r, v in vector.items()}
+        most = max((n for r, n in support.items() if r % 2 == 0), default=0)
+        kept = {r for r in roles if support[r] >= html_extract.SUPPORT and (r % 2 == 0 or 2 * support[r] >= most)}
+        classes = {}
+        for r in kept:
+            classes.setdefault(vector[r], []).append(r)
+        classes = {v: rs for v, rs in classes.items() if len(rs) >= html_extract.SIZE}
+        place = {r: sum(min(k for k, t in enumerate(p) if t.role == r) for p in read if any(t.role == r for t in p)) / support[r] for r in kept}
+        frame = {r for v, rs in classes.items() for r in rs if sum(v) == support[rs[0]] == most}
+
+        def ordered(p, rs):
+            seen = [t.role for t in p if t.role in rs]
+            one = sorted(set(seen), key=lambda r: (place[r], r))
+            return seen == one * (len(seen) // len(one))
+
+        for v, rs in classes.items():
+            on = [p for p, n in zip(read, v, strict=True) if n]
+            if 10 * sum(not ordered(p, rs) for p in on) > len(on):
+                continue
+            gaps = set()
+            for p in on:
+                if not (set(rs) & frame) and ordered(p, rs) and all(ordered(p, x) for w, x in classes.items() if set(x) <= frame):
+                    gaps |= {sum(t.role in frame for t in p[:k]) for k, t in enumerate(p) if t.role in rs}
+            if len(gaps) <= 1:
+                out[host, frozenset(rs)] = True
+    return set(out)
+
+
+def test_classes_by_brute_force(spark):
+    import random
+
+    random.seed(11)
+    blocks = ["<section><p>A</p><p>B</p></section>", "<dl><dt>x</dt><dd>y</dd></dl>", "<table><tr><td>c</td></tr></table>", "<ul><li>n</li></ul>", "<pre>z</pre>", "<blockquote><p>q</p></blockquote>"]
+    pages_ = []
+    for k in range(60):
+        inner = "".join(b for b in blocks if random.random() < 0.8)
+        if random.random() < 0.2:
+            inner = "".join(random.sample(blocks, 4))
+        pages_.append((k, f"h{k % 4}", f"<body><nav>menu</nav><div><h1>t{k}</h1>{inner}<p>own {k}</p></div><footer>foot</footer></body>"))
+    found = html_extract.templates(spark.createDataFrame(pages_, "row long, host string, html string")).collect()
+    got = {}
+    for r in found:
+        got.setdefault((r.host, r["class"]), set()).add(r.role)
+    assert {(h, frozenset(rs)) for (h, _), rs in got.items()} == brute_templates(pages_)
+
+
+def test_templates_decide(spark, monkeypatch):
+    """No telling tag or class: what the pages share is known by the template alone; joined templates give the same."""
+    rows = [(k, "https://plain.example.com/", f"<body><div><p>Welcome to the site</p></div><div><h1>Title {k}</h1><p>Body {k} of it, a good deal longer than all that stands on every page of this site</p></div><div><p>All about us</p></div></body>") for k in range(6)]
+    want = {k: f"Title {k}\nBody {k} of it, a good deal longer than all that stands on every page of this site" for k in range(6)}
+    assert {k: r.text for k, r in run(spark, rows).items()} == want
+    assert html_extract.extract(rows[0][2], {}) == f"Welcome to the site\n{want[0]}\nAll about us"
+    monkeypatch.setattr(html_extract, "BROADCAST_ROWS", 0)
+    assert {k: r.text for k, r in run(spark, rows).items()} == want
+
+
+def test_equal_ids_are_extracted_one_by_one(spark):
+    df = spark.createDataFrame([(1, "http://a/", "<p>one</p>"), (1, "http://a/", "<p>two</p>"), (1, "http://a/", "<p>one</p>"), (None, None, None)], "page_id long, url string, html string")
+    assert sorted(r.text for r in html_extract.extract_pages(df).collect()) == ["", "one", "one", "two"]
