@@ -36,6 +36,20 @@ def test_extra_columns(spark):
     rows = [(1, text, "en", 1), (2, text, None, 2), (3, None, "en", 3), (None, text + " more of it", "en", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept int")
     assert near_dedup.drop_duplicates(df).columns == df.columns
-    assert {r.kept for r in near_dedup.drop_duplicates(df).collect()} == {1, 3, 4}
+    assert {r.kept for r in near_dedup.drop_duplicates(df).collect()} == {1, 3}
     assert {r.kept for r in quality.keep_good(df).collect()} == {1, 2, 4}
     assert {r.kept for r in langid.keep_known(df, langid.fit(df)).collect()} == {1, 2, 4}
+
+
+def test_empty_and_repeated_rows(spark):
+    """Every stage on no rows, and on rows that occur twice."""
+    text = " ".join(f"the word{i} of" for i in range(40))
+    df = spark.createDataFrame([(1, text, "en", "s", 9), (1, text, "en", "s", 9), (2, "x" * 50, "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    for rows, left in ((df.limit(0), 0), (df, 1)):
+        at = rows
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            at = corpus_pipeline.stored(stage(spark, at, ""))
+            assert at.columns == df.columns
+        assert at.count() == left
+        packed = corpus_pipeline.STAGES[-1][1](spark, at, "").collect()
+        assert {r.doc_id for r in packed} == ({1} if left else set())
