@@ -9,8 +9,9 @@ A document is the set of its distinct ``n``-word shingles (64-bit hashes of the
 * Banding.  ``bands`` bands of ``rows`` coordinates are the bucket keys.  A pair at the threshold 0.75 misses all 32
   bands of 4 coordinates with chance (1 - 0.75**4)**32 = 5e-6, a pair at 0.8 with chance 5e-8.
 * Verification.  Documents with equal sets are one class from the start and go on as one representative.  In each
-  bucket every member is compared with the bucket's first member on full sets, and components are taken.  Members of
-  buckets that still hold two components are unsettled; their pairs come from prefix filtering, not from the
+  bucket every member is compared with the bucket's first member on full sets, and components are taken.  In buckets
+  that still hold two components, members outside the first member's component are compared with ``AGAIN`` others of
+  that component, and components are merged, ``ROUNDS`` times.  Members of buckets that hold two components even then are unsettled; their pairs come from prefix filtering, not from the
   buckets: of two sets that are alike enough, the parts that hold their n - ceil(0.75 n) + 1 rarest shingles, in one order for
   all sets, have one in common.  A shingle that more than ``HOT`` such parts hold is split by the sizes of the two sets:
   with both sizes known (to a factor of ``STEP``) the parts that must meet are as short as the overlap that the two
@@ -51,8 +52,10 @@ from ._spark import bytes_of, cut, slices, stored, two_columns
 WORDS = 5
 ROWS, BANDS = 4, 32
 PARITIES = 2048
-#: Hashed counts of shingles that order them; 4 MB.
-COUNTERS = 1 << 20
+#: Hashed counts of shingles that order them; 1 MB.
+COUNTERS = 1 << 18
+#: Members of a bucket's first component that the others are compared with in each round before pairs are sought, and rounds.
+AGAIN, ROUNDS = 8, 2
 #: Holders of a shingle that are paired without regard to size, and the ratio of neighbouring classes of size.
 HOT, STEP = 64, 1.04
 _SEEDS = np.random.default_rng(19).integers(0, 2**64, 2 * ROWS * BANDS, dtype=np.uint64)
@@ -187,24 +190,27 @@ def _candidates(meeting: DataFrame, least: int) -> DataFrame:
     groups = meeting.groupBy("shingle").agg(*kinds, F.count("*").alias("held")).where("low <> high").select("shingle", "main", "held")
     meeting = stored(meeting.join(groups, "shingle"))
 
-    def pairs(rows: DataFrame, on: list[str], more: str) -> DataFrame:
+    # what comes before the first shingle that two sets share is in one of them only
+    overlap = f"ceil({least} * (n + n2) / {100 + least} - 1e-6)"
+    near = f"component <> component2 and 100 * least(n, n2) >= {least} * greatest(n, n2) and place <= n - {overlap} and place2 <= n2 - {overlap} and place + place2 <= n + n2 - 2 * {overlap}"
+
+    def pairs(asks: DataFrame, rows: DataFrame, on: list[str], more: str) -> DataFrame:
         # of a group's pairs those inside its main component, the bulk among near copies, are never formed
-        other = rows.select(*on, F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("role").alias("role2"))
-        near = f"100 * least(n, n2) >= {least} * greatest(n, n2)"
-        met = rows.where("component <> main").join(other, on).where(f"component <> component2 and {near} and {more}")
+        other = rows.select(*on, F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("place").alias("place2"), F.col("before").alias("before2"))
+        met = asks.join(other, on).where(f"{near} and {more}")
         return met.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b"))
 
-    cold = pairs(meeting.where(F.col("held") <= HOT).withColumn("role", F.lit(0)), ["shingle"], "true")
-    # a place is in the part that must meet if it is below n - overlap + 1; the overlap by this size and the other class's least size
-    size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(STEP)))
-    hot = meeting.where(F.col("held") > HOT).withColumn("size", size_class(F.col("n")))
-    reach = F.sequence(size_class(F.col("n") * least / 100) - 1, size_class(F.col("n") * 100 / least) + 1)
-    hot = hot.withColumn("other", F.explode(reach)).withColumn("overlap", F.ceil((F.col("n") + F.pow(F.lit(STEP), "other") * (1 - 1e-9)) * least / (100 + least) - 1e-6))
-    hot = hot.where("place <= n - overlap").withColumn("role", F.explode(F.expr("filter(array(0, 1), r -> (r = 0 and size <= other) or (r = 1 and size >= other))")))
-    hot = hot.select("shingle", F.least("size", "other").alias("small"), F.greatest("size", "other").alias("large"), "role", "v", "n", "component")
-    on = ["shingle", "small", "large"]
-    both = hot.groupBy(*on).agg(*kinds, F.min("role").alias("first"), F.max("role").alias("second")).where("low <> high and first <> second").select(*on, "main")
-    split = pairs(stored(hot.join(both, on)), on, "role <> role2")
+    rare = meeting.where(F.col("held") <= HOT).withColumn("before", F.lit(None))
+    cold = pairs(rare.where("component <> main"), rare, ["shingle"], "true")
+    # holders of a frequent shingle lie in classes of size; those outside the main component ask each class that their size and place leave them
+    size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(STEP))).cast("int")
+    earlier = Window.partitionBy("v").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    hot = stored(meeting.where(F.col("held") > HOT).withColumns({"size": size_class(F.col("n")), "before": F.collect_list("shingle").over(earlier)}))
+    smallest = size_class(F.col("n") * least / 100) - 1
+    largest = F.least(size_class(F.col("n") * 100 / least), size_class(F.greatest((F.col("n") - F.col("place")) * (100 + least) / least - F.col("n"), F.lit(1)))) + 1
+    asks = hot.where("component <> main").withColumns({"smallest": smallest, "largest": largest}).where("smallest <= largest").drop("size").withColumn("size", F.explode(F.sequence("smallest", "largest")))
+    # a pair is made at the first of the shingles that it shares, not at each
+    split = pairs(asks, hot, ["shingle", "size"], "not arrays_overlap(before, before2)")
     return cold.union(split).distinct()
 
 
@@ -235,6 +241,16 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("v").alias("component")).union(now.select("v", F.col("v").alias("component")).distinct())
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (v, component) after ``edges`` (a, b) are added: components of the graph of components."""
+    of = [labels.select(F.col("v").alias(x), F.col("component").alias("c" + x)) for x in "ab"]
+    between = edges.join(of[0], "a", "left").join(of[1], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    new = cut(components(between.where("a <> b").distinct()))
+    joined = labels.join(new.select(F.col("v").alias("component"), F.col("component").alias("into")), "component", "left").select("v", F.coalesce("into", "component").alias("component"))
+    alone = new.join(labels.select("v"), "v", "left_anti")
+    return stored(joined.union(alone.select("v", "component")))
+
+
 def _alike(least: int):
     return F.expr(f"100 * common >= {least} * (na + nb - common)")
 
@@ -277,20 +293,38 @@ def _labelled(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     again = rows.withColumn("row_key", _row_key("id", "of_text")).join(chosen, "row_key", "left_semi").dropDuplicates(["row_key"])
     sets = stored(_sets(again))
     linked = stored(_verified(first, sets, least))
-    labels = components(linked)
+    labels = stored(components(linked))
+
+    def opened(labels: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, and the component of the bucket's first member."""
+        held = shared.select("key", "v", "n", "leader").join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
+        open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "v").alias("main")).where("low <> high").select("key", "main")
+        return held.join(open_keys, "key")
+
+    undirected = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    compared = undirected(first)
+    for seed in range(ROUNDS):
+        members_ = stored(opened(labels))
+        order = Window.partitionBy("key").orderBy(F.xxhash64("v", "key", F.lit(seed)), "v")
+        some = members_.where("component = main").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= AGAIN).select("key", F.col("v").alias("b"), F.col("n").alias("nb"))
+        second = members_.where("component <> main").join(some, "key").where(near.format("n", "nb")).select(F.col("v").alias("a"), "b")
+        second = stored(undirected(second).join(compared, ["a", "b"], "left_anti"))
+        more = stored(_verified(second, sets, least))
+        compared = compared.union(second)
+        if more.isEmpty():
+            break
+        labels = merged(labels, more)
 
-    held = shared.select("key", "v", "n", "leader").join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
-    open_keys = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    unsettled = stored(held.join(open_keys, "key", "left_semi").select("v", "n", "component").distinct().join(sets, "v"))
+    unsettled = stored(opened(labels).select("v", "n", "component").distinct().join(sets, "v"))
     meeting = stored(_prefixes(unsettled, least))
     rest = _candidates(meeting, least)
-    rest = rest.join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = rest.join(compared, ["a", "b"], "left_anti")
     bits = unsettled.select("v", "n", "bits")
     of_a, of_b = (bits.select(F.col("v").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
     differ = sum((F.bit_count(F.col("bitsa")[k].bitwiseXOR(F.col("bitsb")[k])) for k in range(PARITIES // 64)), F.lit(0))
     rest = rest.join(of_a, "a").join(of_b, "b").where(differ * (100 + least) <= (F.col("na") + F.col("nb")) * (100 - least)).select("a", "b")
     more = stored(_verified(rest, sets, least))
-    labels = components(linked.union(more)) if not more.isEmpty() else labels
+    labels = merged(labels, more) if not more.isEmpty() else labels
 
     of_class = members.select("v", "f", "n", "id").join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
     smallest = of_class.groupBy("component").agg(F.min("id").alias("least"))
