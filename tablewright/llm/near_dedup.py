@@ -58,6 +58,8 @@ COUNTERS = 1 << 18
 AGAIN, ROUNDS = 8, 2
 #: Holders of a shingle that are paired without regard to size, and the ratio of neighbouring classes of size.
 HOT, STEP = 64, 1.04
+#: 64-bit words of the bits by which rows are left where they are; broadcast, about 10 MB at most.
+SLOTS = 1 << 18
 _SEEDS = np.random.default_rng(19).integers(0, 2**64, 2 * ROWS * BANDS, dtype=np.uint64)
 
 
@@ -277,6 +279,19 @@ def _row_key(key: str, of_text: str) -> Column:
     return F.xxhash64(F.col(key).isNull(), F.coalesce(F.col(key), F.lit(0)), of_text)
 
 
+def _slots(keys: DataFrame) -> DataFrame:
+    """``slot`` and ``bits``: one bit is set for each ``key``, a hash."""
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    return stored(keys.groupBy(F.pmod(F.shiftright("key", 6), F.lit(SLOTS)).alias("__slot")).agg(F.bit_or(bit).alias("__bits")))
+
+
+def _perhaps(rows: DataFrame, key: str, slots: DataFrame) -> DataFrame:
+    """``rows`` with ``__perhaps``: false only where ``key`` is none of the keys of ``slots``, so that its row needn't be sent to a join."""
+    marked = rows.join(F.broadcast(slots), F.pmod(F.shiftright(key, 6), F.lit(SLOTS)) == F.col("__slot"), "left")
+    set_ = F.expr(f"coalesce(shiftright(__bits, cast({key} & 63 as int)) & 1L, 0L) = 1L")
+    return marked.withColumn("__perhaps", set_).drop("__slot", "__bits")
+
+
 def _labelled(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     """``id``, ``of_text``, ``n`` and ``component`` (the smallest id reachable) of each row."""
     rows = _rows(docs, key, text)
@@ -288,9 +303,10 @@ def _labelled(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     shared = stored(keyed.join(buckets, "key"))
     near = f"100 * least({{0}}, {{1}}) >= {least} * greatest({{0}}, {{1}})"
     first = stored(shared.where("v <> leader").where(near.format("n", "leader_n")).select(F.col("v").alias("a"), F.col("leader").alias("b")).distinct())
-    # of each class one row's text is read again
-    chosen = members.join(shared.select("v").distinct(), "v", "left_semi").select(_row_key("row.id", "row.of_text").alias("row_key")).distinct()
-    again = rows.withColumn("row_key", _row_key("id", "of_text")).join(chosen, "row_key", "left_semi").dropDuplicates(["row_key"])
+    # of each class one row's text is read again; other texts are not sent
+    chosen = stored(members.join(shared.select("v").distinct(), "v", "left_semi").select(_row_key("row.id", "row.of_text").alias("row_key")).distinct())
+    asked = _perhaps(rows.withColumn("row_key", _row_key("id", "of_text")), "row_key", _slots(chosen.select(F.col("row_key").alias("key"))))
+    again = asked.where("__perhaps").drop("__perhaps").join(chosen, "row_key", "left_semi").dropDuplicates(["row_key"])
     sets = stored(_sets(again))
     linked = stored(_verified(first, sets, least))
     labels = stored(components(linked))
@@ -347,17 +363,23 @@ def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     """
     found = stored(_labelled(docs, key, text, least).where("class is not null"))
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "of_text")
-    best = found.groupBy("class").agg(F.min(rank).alias("best"))
-    # rows that go, by id and text; and those of which there are several alike, one of which stays
-    alike = found.groupBy("class", "id", "of_text").agg(F.count("*").alias("rows")).join(best, "class")
-    gone = alike.withColumn("stays", F.struct(F.col("id").isNull().alias("none"), "id", "of_text") == F.col("best")).where("not stays or rows > 1")
+    best = found.groupBy("class").agg(F.min(rank).alias("best")).select(F.col("class").alias("__class"), F.col("best.id").alias("__id"), F.col("best.of_text").alias("__of_text"))
+    # rows that go, by id and text; and those of which there are several alike, one of which stays; a class may be large, so it alone is no key
+    alike = found.groupBy("class", "id", "of_text").agg(F.count("*").alias("rows"))
+    is_best = (F.col("class") == F.col("__class")) & F.col("id").eqNullSafe(F.col("__id")) & (F.col("of_text") == F.col("__of_text"))
+    gone = alike.join(best, is_best, "left").withColumn("stays", F.col("__class").isNotNull()).where("not stays or rows > 1")
     gone = stored(gone.select(F.col("id").alias("__id"), F.col("of_text").alias("__of_text"), F.col("stays").alias("__stays")))
     same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__id")) & (_of_text(f"`{text}`") == F.col("__of_text"))
-    kept = docs.join(gone.select("__id", "__of_text"), same, "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = F.xxhash64(F.col(f"`{key}`").cast("long").isNull(), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(0)), _of_text(f"`{text}`"))
+    # rows that certainly stay are not sent
+    marked = _perhaps(docs.withColumn("__key", own), "__key", _slots(gone.select(_row_key("__id", "__of_text").alias("key"))))
+    asked = marked.where("__perhaps").select(*columns)
+    kept = marked.where("not __perhaps").select(*columns).union(asked.join(gone.select("__id", "__of_text"), same, "left_anti"))
     if gone.where("__stays").isEmpty():
         return kept
-    several = docs.join(gone.where("__stays"), same).withColumn("__row", F.row_number().over(Window.partitionBy("__id", "__of_text").orderBy(F.lit(0)))).where("__row = 1")
-    return kept.union(several.select(*(F.col(f"`{c}`") for c in docs.columns)))
+    several = asked.join(gone.where("__stays"), same).withColumn("__row", F.row_number().over(Window.partitionBy("__id", "__of_text").orderBy(F.lit(0)))).where("__row = 1")
+    return kept.union(several.select(*columns))
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from itertools import combinations
 import pytest
 
 from tablewright.llm import near_dedup
+from tablewright.llm._spark import setting
 
 
 def shingles(text):
@@ -97,6 +98,29 @@ def test_prefixes_of_sets_that_are_alike_meet():
             assert len(np.intersect1d(near_dedup.prefix(a, count, 75), near_dedup.prefix(b, count, 75)))
 
 
+def shuffled(spark):
+    """Bytes written to shuffles so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+
+def test_texts_that_meet_no_other_are_not_sent(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"{rng.getrandbits(64):x}" for _ in range(2500))) for k in range(150)]
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = spark.conf.get("spark.sql.warehouse.dir") + "/texts"
+    df.write.mode("overwrite").parquet(path)
+    before = shuffled(spark)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        kept = {r.doc_id for r in near_dedup.drop_duplicates(spark.read.parquet(path)).collect()}
+    assert kept == set(range(150))
+    # the sets of ten documents are sent, a few numbers of each other one
+    assert shuffled(spark) - before < sum(len(t) for _, t in rows) / 2
+
+
 def test_very_long_text(spark):
     text = " ".join(f"w{i % 70_000}" for i in range(300_000))
     rows = [(1, text), (2, text + " tail"), (3, "other words are in this one")]
